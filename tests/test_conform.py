@@ -1,0 +1,100 @@
+import datetime as dt
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import Row
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from lamina.operators.conform import conform, stamp_lineage
+from lamina.plans.trips import CONTRACT, LINEAGE
+
+PICKUP = dt.datetime(2026, 5, 10, 8, 0)
+
+
+def malformed(spark, **changes):
+    base = dict(
+        VendorID="1",
+        tpep_pickup_datetime=PICKUP,
+        tpep_dropoff_datetime=dt.datetime(2026, 5, 10, 8, 20),
+        fare_amount="15.0",
+        _ingest_year=2026,
+        _ingest_month=5,
+    )
+    return spark.createDataFrame([Row(**{**base, **changes})])
+
+
+def test_contract_types():
+    types = {f.name: f.dataType for f in CONTRACT.fields}
+    assert len(types) == 18
+    assert isinstance(types["VendorID"], T.IntegerType)
+    assert isinstance(types["tpep_pickup_datetime"], T.TimestampType)
+    assert isinstance(types["fare_amount"], T.DoubleType)
+    assert isinstance(types["store_and_fwd_flag"], T.StringType)
+
+
+def test_casts_fills_and_drops(spark):
+    out = conform(malformed(spark, extra_column=1), CONTRACT, LINEAGE)
+    assert out.columns == [f.name for f in CONTRACT.fields] + ["_ingest_year", "_ingest_month"]
+    assert [f.dataType for f in out.schema.fields[:18]] == [f.dataType for f in CONTRACT.fields]
+    row = out.first()
+    assert row["VendorID"] == 1 and row["fare_amount"] == 15.0
+    assert row["tpep_pickup_datetime"] == PICKUP
+    assert row["trip_distance"] is None and row["store_and_fwd_flag"] is None
+
+
+def test_lenient_gives_null_and_strict_raises(spark):
+    bad = malformed(spark, fare_amount="x")
+    assert conform(bad, CONTRACT, LINEAGE).first()["fare_amount"] is None
+    with pytest.raises(PySparkException, match="fare_amount"):
+        conform(bad, CONTRACT, LINEAGE, mode="strict").collect()
+    assert conform(malformed(spark), CONTRACT, mode="strict").first()["fare_amount"] == 15.0
+    with pytest.raises(ValueError):
+        conform(bad, CONTRACT, mode="other")
+
+
+def test_strict_does_not_depend_on_ansi(spark):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(PySparkException, match="fare_amount"):
+            conform(malformed(spark, fare_amount="x"), CONTRACT, mode="strict").collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_whole_number_written_with_decimals(spark):
+    assert conform(malformed(spark, VendorID="2.0"), CONTRACT).first()["VendorID"] == 2
+
+
+def test_case_insensitive_names(spark):
+    df = spark.createDataFrame([Row(vendorid=3)])
+    assert conform(df, CONTRACT).first()["VendorID"] == 3
+
+
+def test_columns_of_the_right_type_are_not_cast(spark, tmp_path):
+    df = spark.createDataFrame([(1, 2.0)], "VendorID int, fare_amount double")
+    df.write.parquet(str(tmp_path / "t"))
+    plan = conform(spark.read.parquet(str(tmp_path / "t")), CONTRACT).filter("fare_amount > 1")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(fare_amount,1.0)" in text
+
+
+def test_lineage_stamp(spark, tmp_path):
+    path = str(tmp_path / "yellow.parquet")
+    spark.range(3).write.parquet(path)
+    moment = dt.datetime(2026, 6, 1, tzinfo=dt.timezone.utc)
+    stamped = stamp_lineage(spark.read.parquet(path), 2026, 5, ingested_at=moment)
+    assert dict(stamped.dtypes) == {
+        "id": "bigint",
+        "_ingest_year": "int",
+        "_ingest_month": "int",
+        "_source_file": "string",
+        "_ingested_at": "string",
+    }
+    row = stamped.first()
+    assert (row["_ingest_year"], row["_ingest_month"]) == (2026, 5)
+    assert row["_source_file"].endswith(".parquet")
+    assert row["_ingested_at"] == "2026-06-01T00:00:00+00:00"
+    named = stamp_lineage(spark.range(1), 2026, 5, source_file="a.parquet")
+    assert named.first()["_source_file"] == "a.parquet"
+    assert named.filter(F.col("_ingested_at").isNull()).count() == 0
