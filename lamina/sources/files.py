@@ -116,8 +116,8 @@ def layout_audit(spark: SparkSession, root: str, levels: Sequence[str] = INGEST_
         .groupBy(F.col("_metadata.file_path").alias("path"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    base = F.lit(root.rstrip("/").rsplit("/", 1)[-1])
-    inside = F.substring_index("path", F.concat(F.lit("/"), base, F.lit("/")), -1)
+    name = root.rstrip("/").rsplit("/", 1)[-1]
+    inside = F.substring_index("path", f"/{name}/", -1)
     return (
         files.groupBy(inside.rlike(f"^{place}/[^/]+$").alias("in_layout"))
         .agg(F.count(F.lit(1)).alias("files"), F.sum("n").alias("rows"))
