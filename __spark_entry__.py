@@ -752,11 +752,21 @@ ORACLES: dict[str, str] = {
 
 def entry(spark: SparkSession) -> DataFrame:
     """The whole chain at sf0.001: conform, clean, derive, enrich in two roles, fares by borough."""
-    return QUERIES["region_metrics"](spark, "/root/testdata/sf0.001")
+    return queries()["region_metrics"](spark, "/root/testdata/sf0.001")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    return {name: in_wall_clock_session(query) for name, query in QUERIES.items()}
+
+
+def in_wall_clock_session(query):
+    """The query with the session zone pinned: trip times are wall clock, see lamina.session."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return query(spark, sf_dir)
+
+    return run
 
 
 def oracle_sql() -> dict[str, str]:
