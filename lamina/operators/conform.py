@@ -39,12 +39,12 @@ def conform(df: DataFrame, schema: T.StructType, keep: Sequence[str] = (), mode:
             value = _fit(df, actual, field.dataType, mode)
         columns.append(value.alias(field.name))
     kept = [(name, resolve(df, name)) for name in keep]
-    columns += [_quoted(actual).alias(name) for name, actual in kept if actual is not None]
+    columns += [quoted(actual).alias(name) for name, actual in kept if actual is not None]
     return df.select(*columns)
 
 
 def _fit(df: DataFrame, name: str, target: T.DataType, mode: str) -> Column:
-    column, source = _quoted(name), df.schema[name].dataType
+    column, source = quoted(name), df.schema[name].dataType
     if source == target:
         return column
     if isinstance(source, T.StringType) and isinstance(target, T.IntegralType):
@@ -60,7 +60,8 @@ def _fit(df: DataFrame, name: str, target: T.DataType, mode: str) -> Column:
     return F.when(column.isNull() | fitted.isNotNull(), fitted).otherwise(F.raise_error(message))
 
 
-def _quoted(name: str) -> Column:
+def quoted(name: str) -> Column:
+    """The column of exactly this name, dots and all."""
     return F.col("`" + name.replace("`", "``") + "`")
 
 

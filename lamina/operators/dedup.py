@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _RANK = "_row_in_key"
@@ -25,7 +25,7 @@ def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None
     return df.withColumn(_RANK, F.row_number().over(window)).filter(F.col(_RANK) == 1).drop(_RANK)
 
 
-def duplicate_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def duplicate_count(df: DataFrame, keys: Sequence[str | Column]) -> DataFrame:
     """One row: how many rows are copies of another row's key. Partial counts go first."""
     groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"))
     return groups.agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicate_rows"))
