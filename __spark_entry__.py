@@ -318,6 +318,19 @@ def dq_duplicates(spark, sf_dir):
     return report(suite, nullable_lines(spark, sf_dir))
 
 
+def dq_custom(spark, sf_dir):
+    """Type checks, and checks of one's own as aggregate columns; a missing column fails its check only."""
+    suite = Suite("custom")
+    suite.expect_column_type_to_be("l_orderkey", "bigint")
+    suite.expect_column_type_to_be("l_quantity", "int", severity="warning")
+    suite.expect_column_type_to_be("l_nowhere", "int")
+    suite.expect_column_values_to_not_be_null("l_nowhere", severity="warning")
+    largest, lines = F.max("l_quantity"), F.count_if(F.col("l_linenumber") == 1) / F.count(F.lit(1))
+    suite.expect_custom("largest quantity", largest <= 50, observed=largest, threshold=50)
+    suite.expect_custom("share of first lines", lines >= 0.5, observed=lines, threshold=0.5)
+    return report(suite, table(spark, sf_dir, "lineitem"))
+
+
 def dq_retention(spark, sf_dir):
     """Retention of each ingest month against the bounds of the silver gate."""
     df = conformed_trips(spark, sf_dir)
@@ -371,6 +384,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_in_set": dq_in_set,
     "dq_row_count": dq_row_count,
     "dq_duplicates": dq_duplicates,
+    "dq_custom": dq_custom,
     "dq_retention": dq_retention,
     "dq_suite_report": dq_suite_report,
     "dq_gold_report": dq_gold_report,
@@ -732,6 +746,25 @@ ORACLES: dict[str, str] = {
             duplicates_check(["l_orderkey", "line", "l_partkey", "l_suppkey"], "error"),
         ],
     ),
+    "dq_custom": report_sql(
+        "custom",
+        NULLABLE_LINES_SQL,
+        "lines",
+        [
+            ("expect_column_type_to_be(l_orderkey,bigint)", "error", None, "true", None),
+            ("expect_column_type_to_be(l_quantity,int)", "warning", None, "false", None),
+            ("expect_column_type_to_be(l_nowhere,int)", "error", None, "false", None),
+            ("expect_column_values_to_not_be_null(l_nowhere)", "warning", None, "false", 1.0),
+            ("largest quantity", "error", "max(l_quantity)", "{seen} <= 50", 50.0),
+            (
+                "share of first lines",
+                "error",
+                "count(*) FILTER (WHERE l_linenumber = 1) / count(*)::DOUBLE",
+                "{seen} >= 0.5",
+                0.5,
+            ),
+        ],
+    ),
     "dq_retention": f"""
         WITH {TRIPS_SQL} SELECT *, retention_pct >= 80 AND retention_pct <= 100 AS success FROM (
           SELECT {YEAR}, {MONTH}, {RETENTION_COLUMNS_SQL}

@@ -96,6 +96,11 @@ def rollup_for(df: DataFrame, summaries: Sequence[Summary]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_ROWS), *partials)
 
 
+def rollup_rows(rollup: DataFrame) -> DataFrame:
+    """One row: how many rows the rollup was made from."""
+    return rollup.agg(F.coalesce(F.sum(_ROWS), F.lit(0)).alias("rows"))
+
+
 def summarize_rollup(rollup: DataFrame, summary: Summary) -> DataFrame:
     """The summary from a rollup made by `rollup_for`."""
     finals = [

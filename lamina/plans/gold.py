@@ -8,7 +8,7 @@ import logging
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from lamina.operators.aggregate import rollup_for, summarize, summarize_rollup
+from lamina.operators.aggregate import rollup_for, rollup_rows, summarize, summarize_rollup
 from lamina.plans import trips
 from lamina.plans.silver import SILVER_DIR
 from lamina.session import get_spark, size_shuffle
@@ -34,6 +34,7 @@ def aggregate(spark: SparkSession, silver_dir: str, gold_dir: str, write_databas
     silver = spark.read.parquet(silver_dir)
     rollup = rollup_for(silver, trips.GOLD).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        silver_rows = rollup_rows(rollup).first()["rows"]
         rows = {}
         for table in trips.GOLD:
             path = f"{gold_dir}/{table.name}"
@@ -43,7 +44,7 @@ def aggregate(spark: SparkSession, silver_dir: str, gold_dir: str, write_databas
                 sinks.write_jdbc(spark.read.parquet(path), sinks.jdbc_options(table.name))
     finally:
         rollup.unpersist()
-    return {"silver_rows": files.row_count(spark, silver_dir), "gold_table_rows": rows}
+    return {"silver_rows": silver_rows, "gold_table_rows": rows}
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from lamina.sources import storage
 from lamina.sources.files import partition_glob
@@ -40,23 +40,18 @@ def replace_partitions(
     """
     spark = df.sparkSession
     slice_path = partition_glob(path, list(within or {}), within)
-    before = _files(spark, slice_path) if within is not None else set()
+    directories = partition_glob(path, by, within)
+    marks = {d: storage.first_file(spark, d) for d in storage.matching(spark, directories)}
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
-    after = _files(spark, slice_path)
-    if not after - before:
+    after = storage.matching(spark, directories)
+    # A written partition has new files only; where an old file is still there, nothing was written.
+    untouched = [d for d in after if marks.get(d) and storage.exists(spark, marks[d])]
+    if len(untouched) == len(after):
         raise EmptyLayerError(f"no rows for {slice_path}; partitions left as they were")
-    for directory in sorted({f.rsplit("/", 1)[0] for f in after & before}):
-        storage.remove(spark, directory)
-    kept = spark.read.option("basePath", path).parquet(slice_path)
-    return kept.count()
-
-
-def _files(spark: SparkSession, slice_path: str) -> set[str]:
-    """Data files of a slice, from the file index (bounded by files per slice, not by rows)."""
-    if not storage.matching(spark, slice_path):
-        return set()
-    base = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    return set(base.option("pathGlobFilter", "*.parquet").load(slice_path).inputFiles())
+    if within is not None:
+        for directory in untouched:
+            storage.remove(spark, directory)
+    return spark.read.option("basePath", path).parquet(slice_path).count()
 
 
 def overwrite_table(df: DataFrame, path: str) -> int:

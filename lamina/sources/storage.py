@@ -27,7 +27,13 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(status.getPath().toString() for status in system.globStatus(target) or [])
 
 
-def remove(spark: SparkSession, uri: str) -> None:
-    """Delete a directory given as a (percent-encoded) URI, as the file index names it."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri))
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+def first_file(spark: SparkSession, directory: str) -> str | None:
+    """Some file of a directory; looks at no more than one listing page."""
+    system, target = _open(spark, directory)
+    entries = system.listFiles(target, False)
+    return entries.next().getPath().toString() if entries.hasNext() else None
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    system, target = _open(spark, path)
+    system.delete(target, True)
