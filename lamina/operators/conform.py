@@ -12,6 +12,12 @@ from pyspark.sql import types as T
 YEAR, MONTH, SOURCE_FILE, INGESTED_AT = "_ingest_year", "_ingest_month", "_source_file", "_ingested_at"
 
 
+# What reads as a number. A string that does not is made null without a cast: a failed
+# try_cast costs an exception per row, some 100 times the price of a good one.
+_WHOLE = r"^\s*[+-]?\d+(\.\d*)?\s*$"
+_NUMBER = r"(?i)^\s*[+-]?(nan|inf|infinity|(\d+\.?\d*|\.\d+)(e[+-]?\d+)?[df]?)\s*$"
+
+
 def resolve(df: DataFrame, name: str) -> str | None:
     """The actual name of a column under the session's case rule, or None."""
     if name in df.columns:
@@ -47,9 +53,15 @@ def _fit(df: DataFrame, name: str, target: T.DataType, mode: str) -> Column:
     column, source = quoted(name), df.schema[name].dataType
     if source == target:
         return column
-    if isinstance(source, T.StringType) and isinstance(target, T.IntegralType):
+    if not isinstance(source, T.StringType):
+        fitted = column.try_cast(target)
+    elif isinstance(target, T.IntegralType):
         # A whole number written with decimals ("2.0") is that number.
-        fitted = column.try_cast("decimal(38,18)").try_cast(target)
+        fitted = F.when(column.rlike(_WHOLE), column.try_cast("decimal(38,18)").try_cast(target))
+    elif isinstance(target, T.NumericType):
+        fitted = F.when(column.rlike(_NUMBER), column.try_cast(target))
+    elif isinstance(target, T.TimestampType):
+        fitted = F.try_to_timestamp(column)
     else:
         fitted = column.try_cast(target)
     if mode == "lenient":

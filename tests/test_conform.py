@@ -66,6 +66,40 @@ def test_whole_number_written_with_decimals(spark):
     assert conform(malformed(spark, VendorID="2.0"), CONTRACT).first()["VendorID"] == 2
 
 
+@pytest.mark.parametrize(
+    "text, whole, number",
+    [
+        ("7", 7, 7.0),
+        (" -7 ", -7, -7.0),
+        ("+2.0", 2, 2.0),
+        ("3.99", 3, 3.99),
+        ("2.", 2, 2.0),
+        (".5", None, 0.5),
+        ("1e3", None, 1000.0),
+        ("1.5E-2", None, 0.015),
+        ("99999999999", None, 99999999999.0),
+        ("Infinity", None, float("inf")),
+        ("", None, None),
+        ("-", None, None),
+        ("1,5", None, None),
+        ("12abc", None, None),
+        (None, None, None),
+    ],
+)
+def test_numbers_in_text(spark, text, whole, number):
+    schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.DoubleType())])
+    row = conform(spark.createDataFrame([(text, text)], "a string, b string"), schema).first()
+    assert (row["a"], row["b"]) == (whole, number)
+
+
+def test_times_in_text(spark):
+    schema = T.StructType([T.StructField("t", T.TimestampType()), T.StructField("d", T.DateType())])
+    df = spark.createDataFrame([("2026-05-10 08:00:00", "2026-05-10"), ("soon", "never")], "t string, d string")
+    assert [tuple(r) for r in conform(df, schema).collect()] == [(PICKUP, PICKUP.date()), (None, None)]
+    with pytest.raises(PySparkException, match="column t"):
+        conform(df.select("t"), T.StructType([schema["t"]]), mode="strict").collect()
+
+
 def test_case_insensitive_names(spark):
     df = spark.createDataFrame([Row(vendorid=3)])
     assert conform(df, CONTRACT).first()["VendorID"] == 3
