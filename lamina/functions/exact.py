@@ -1,10 +1,11 @@
 """Order-independent sums and means of amounts held as doubles.
 
-A double sum depends on the order in which partitions are merged, so an amount that
-falls on a rounding tie can come out differently on every run. An amount with a fixed
-number of decimals is added as a whole number of its smallest unit instead: `bigint`
-addition is exact, associative and as cheap in a hash aggregate. Overflow, NaN and
-infinity raise under ANSI mode.
+A double sum depends on the order in which partitions are merged, so an amount that falls
+on a rounding tie can come out differently on every run. An amount with a fixed number of
+decimals is added as a whole number of its smallest unit instead: `bigint` addition is
+exact, associative and as cheap in a hash aggregate. A value too large for that (or NaN, or
+infinite) is added beside it as a double, so that one wild value neither fails the sum nor
+leaves it; only a group that holds one is a double sum again.
 """
 
 from __future__ import annotations
@@ -12,22 +13,39 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Hundreds of millions of rows at the limit fit a bigint; beyond, ANSI mode raises.
+LARGEST_UNITS = 10**10
+
 
 def units(name: str, digits: int) -> Column:
-    """The column as a whole number of 10**-digits."""
-    return F.rint(F.col(name) * F.lit(float(10**digits))).cast("bigint")
+    """The column as a whole number of 10**-digits, null where it is out of range."""
+    return F.when(_in_range(name, digits), F.rint(F.col(name) * F.lit(float(10**digits))).cast("bigint"))
+
+
+def beyond(name: str, digits: int) -> Column:
+    """The column where `units` leaves it out."""
+    return F.when(~_in_range(name, digits), F.col(name))
+
+
+def total(unit_sum: Column, beyond_sum: Column, digits: int, places: int) -> Column:
+    """Sums of `units` and `beyond` -> double, rounded half up."""
+    exact = unit_sum.cast("decimal(20,0)") / F.lit(10**digits)
+    return _either(exact, unit_sum, beyond_sum, digits, F.lit(1), places)
 
 
-def total_of_units(total: Column, digits: int, places: int) -> Column:
-    """Sum of units -> double, rounded half up."""
-    return _rounded(total.cast("decimal(20,0)") / F.lit(10**digits), places)
+def mean(unit_sum: Column, beyond_sum: Column, count: Column, digits: int, places: int) -> Column:
+    """Sums of `units` and `beyond` over a count -> double, rounded half up; null for no values."""
+    values = F.nullif(count, F.lit(0))
+    exact = unit_sum.cast("decimal(20,0)") / (values * F.lit(10**digits)).cast("decimal(20,0)")
+    return _either(exact, unit_sum, beyond_sum, digits, values, places)
 
 
-def mean_of_units(total: Column, count: Column, digits: int, places: int) -> Column:
-    """Sum of units over count -> double, rounded half up; null for no values."""
-    per_unit = F.nullif(count, F.lit(0)) * F.lit(10**digits)
-    return _rounded(total.cast("decimal(20,0)") / per_unit.cast("decimal(20,0)"), places)
+def _in_range(name: str, digits: int) -> Column:
+    return F.abs(F.col(name)) <= F.lit(float(LARGEST_UNITS / 10**digits))
 
 
-def _rounded(value: Column, places: int) -> Column:
-    return F.round(value, places).cast("double")
+def _either(exact: Column, unit_sum: Column, beyond_sum: Column, digits: int, count: Column, places: int) -> Column:
+    near = F.coalesce(unit_sum.cast("double"), F.lit(0.0)) / F.lit(float(10**digits))
+    return F.when(beyond_sum.isNull(), F.round(exact, places).cast("double")).otherwise(
+        F.round((near + beyond_sum) / count, places)
+    )

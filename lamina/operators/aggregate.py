@@ -70,7 +70,7 @@ def summarize(df: DataFrame, summary: Summary) -> DataFrame:
     finals = [
         F.count(F.lit(1)).alias(m.name)
         if m.kind == "count"
-        else _final(m, F.sum(_measure(m)), F.count(m.column))
+        else _final(m, *(added for _, added in _partials(m)))
         for m in summary.metrics
     ]
     return _finish(df.groupBy(*summary.by).agg(*finals), summary)
@@ -88,11 +88,7 @@ def rollup_for(df: DataFrame, summaries: Sequence[Summary]) -> DataFrame:
         known = measured.setdefault(metric.column, metric)
         if known.digits != metric.digits:
             raise ValueError(f"column {metric.column} is measured with different digits")
-    partials = [
-        part
-        for c, m in measured.items()
-        for part in (F.sum(_measure(m)).alias(f"_sum_{c}"), F.count(c).alias(f"_n_{c}"))
-    ]
+    partials = [added.alias(name) for m in measured.values() for name, added in _partials(m)]
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_ROWS), *partials)
 
 
@@ -106,27 +102,34 @@ def summarize_rollup(rollup: DataFrame, summary: Summary) -> DataFrame:
     finals = [
         F.sum(_ROWS).alias(m.name)
         if m.kind == "count"
-        else _final(m, F.sum(f"_sum_{m.column}"), F.sum(f"_n_{m.column}"))
+        else _final(m, *(F.sum(name) for name, _ in _partials(m)))
         for m in summary.metrics
     ]
     return _finish(rollup.groupBy(*summary.by).agg(*finals), summary)
 
 
-def _measure(metric: Metric) -> Column:
-    return F.col(metric.column) if metric.digits is None else exact.units(metric.column, metric.digits)
+def _partials(metric: Metric) -> list[tuple[str, Column]]:
+    """(name, aggregate) of what a metric is made from; each is added up again by a sum."""
+    c = metric.column
+    if metric.digits is None:
+        return [(f"_sum_{c}", F.sum(c)), (f"_n_{c}", F.count(c))]
+    return [
+        (f"_units_{c}", F.sum(exact.units(c, metric.digits))),
+        (f"_beyond_{c}", F.sum(exact.beyond(c, metric.digits))),
+        (f"_n_{c}", F.count(c)),
+    ]
 
 
-def _final(metric: Metric, added: Column, present: Column) -> Column:
-    if metric.kind == "sum":
-        if metric.digits is None:
-            value = F.round(added, metric.places)
-        else:
-            value = exact.total_of_units(added, metric.digits, metric.places)
+def _final(metric: Metric, *partials: Column) -> Column:
+    *added, present = partials
+    if metric.kind == "sum" and metric.digits is None:
+        value = F.round(added[0], metric.places)
+    elif metric.kind == "sum":
+        value = exact.total(*added, metric.digits, metric.places)
+    elif metric.kind == "mean" and metric.digits is None:
+        value = F.round(F.try_divide(added[0], present), metric.places)
     elif metric.kind == "mean":
-        if metric.digits is None:
-            value = F.round(F.try_divide(added, present), metric.places)
-        else:
-            value = exact.mean_of_units(added, present, metric.digits, metric.places)
+        value = exact.mean(*added, present, metric.digits, metric.places)
     else:
         raise ValueError(f"unknown metric kind {metric.kind!r}")
     return value.alias(metric.name)

@@ -1,11 +1,12 @@
 import datetime as dt
+import math
 import random
 from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from lamina.operators.aggregate import Summary, count, mean, rollup_for, summarize, summarize_rollup, total
+from lamina.operators.aggregate import Metric, Summary, count, mean, rollup_for, summarize, summarize_rollup, total
 from lamina.plans import trips
 from lamina.plans.gold import build
 
@@ -119,8 +120,22 @@ def spec_exact():
     return Summary("t", ("k",), (count("n"), mean("m", "x", 2)))
 
 
+def test_wild_values_are_added_as_doubles(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = [(1, 2.5), (1, 1e20), (2, 1e20), (3, 1.0), (3, nan), (4, -inf), (4, 1.0), (5, 1e8), (5, 0.01), (6, 1e8 + 1.25)]
+    df = spark.createDataFrame(rows, "k int, x double").repartition(3)
+    spec = Summary("t", ("k",), (mean("m", "x", 2), total("s", "x", 2)))
+    for out in (summarize(df, spec), summarize_rollup(rollup_for(df, [spec]), spec)):
+        found = {r["k"]: (r["m"], r["s"]) for r in out.collect()}
+        assert found[1] == (5e19, 1e20) and found[2] == (1e20, 1e20) and found[4] == (-inf, -inf)
+        assert all(math.isnan(v) for v in found[3])
+        assert found[5] == (50000000.01, 100000000.01) and found[6] == (100000001.25, 100000001.25)
+
+
 def test_bad_specs(spark):
     df = spark.createDataFrame([(1, 1.0)], "k int, x double")
+    with pytest.raises(ValueError):
+        summarize(df, Summary("a", ("k",), (Metric("m", "median", "x"),)))
     with pytest.raises(ValueError):
         rollup_for(df, [Summary("a", ("k",), (mean("m", "x", 2), mean("d", "x")))])
 
