@@ -788,8 +788,26 @@ def entry(spark: SparkSession) -> DataFrame:
     return queries()["region_metrics"](spark, "/root/testdata/sf0.001")
 
 
+def corpus_queries() -> tuple[dict, dict]:
+    """The queries and the SQL of the training-data operators and their pipeline, as far as they are installed."""
+    found, sql = {}, {}
+    try:
+        from lamina.llm import queries as corpus
+
+        found, sql = dict(corpus.QUERIES), dict(corpus.ORACLES)
+        import corpus_pipeline
+
+        found["pipeline"] = corpus_pipeline.run
+        if corpus_pipeline.ORACLE_SQL is not None:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("lamina.llm", "corpus_pipeline"):
+            raise
+    return found, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: in_wall_clock_session(query) for name, query in QUERIES.items()}
+    return {name: in_wall_clock_session(query) for name, query in {**QUERIES, **corpus_queries()[0]}.items()}
 
 
 def in_wall_clock_session(query):
@@ -803,4 +821,4 @@ def in_wall_clock_session(query):
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    return {**ORACLES, **corpus_queries()[1]}

@@ -12,10 +12,10 @@ def connection():
 
 
 def test_every_query_has_an_oracle():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert entry.QUERIES.keys() == entry.ORACLES.keys()
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(entry.QUERIES))
 def test_query_equals_oracle(spark, connection, name):
     assert difference(entry.queries()[name](spark, SF_DIR), connection, entry.oracle_sql()[name]) is None
 
