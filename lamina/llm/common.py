@@ -7,7 +7,7 @@ import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -16,12 +16,12 @@ from pyspark.sql.pandas.types import to_arrow_type
 SLICE_CHARS = 1 << 20
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """The rows cut from their lineage by a checkpoint in the folder that the session names.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for checkpoints and intermediate tables, from the session.
 
     Only a session that runs in this process alone and names no folder gets a temporary one.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = context.getConf().get("spark.checkpoint.dir")
         if not folder:
@@ -29,6 +29,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
                 raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
             folder = tempfile.mkdtemp(prefix="lamina-checkpoint-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The rows cut from their lineage by a checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

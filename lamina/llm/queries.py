@@ -10,8 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm import decontaminate, langid, simhash
-from lamina.llm.common import in_fold
+from lamina.llm import decontaminate, langid, line_dedup, mixing, simhash
+from lamina.llm.common import checkpointed, in_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,6 +31,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+LINE_DEDUP_SQL = r"""
+WITH split AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
+lines AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS no FROM split),
+said AS (
+  SELECT doc_id, no, line, row_number() OVER (PARTITION BY doc_id ORDER BY no) AS pos
+  FROM lines WHERE regexp_matches(line, '[^ \t\n\v\f\r]')
+), runs AS (
+  SELECT doc_id, pos, line AS a, lead(line) OVER w AS b, lead(line, 2) OVER w AS c FROM said WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
+), later AS (
+  SELECT doc_id, pos FROM runs WHERE c IS NOT NULL QUALIFY row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, pos) > 1
+), gone AS (
+  SELECT DISTINCT doc_id, no FROM (SELECT doc_id, unnest(range(pos, pos + 3)) AS pos FROM later) JOIN said USING (doc_id, pos)
+), kept AS (
+  SELECT doc_id, string_agg(line, chr(10) ORDER BY no) AS text FROM lines ANTI JOIN gone USING (doc_id, no) GROUP BY doc_id
+), removed AS (SELECT doc_id, count(*) AS n, string_agg(no::VARCHAR, ',' ORDER BY no) AS nos FROM gone GROUP BY doc_id)
+SELECT doc_id, CASE WHEN ls IS NOT NULL THEN coalesce(kept.text, '') END AS text, coalesce(len(ls), 0)::BIGINT AS n_lines,
+  coalesce(n, 0)::BIGINT AS n_removed, coalesce(nos, '') AS removed_lines
+FROM split LEFT JOIN kept USING (doc_id) LEFT JOIN removed USING (doc_id)
+"""
+
+
+@query("op1_line_dedup", LINE_DEDUP_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    n_removed = F.size("removed_lines").cast("long").alias("n_removed")
+    return found.select("doc_id", "text", "n_lines", n_removed, F.array_join("removed_lines", ",").alias("removed_lines"))
+
+
 DECONTAMINATION_SQL = r"""
 WITH item_words AS (
   SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
@@ -71,6 +99,52 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+MIXING_SQL = r"""
+WITH RECURSIVE described AS (
+  SELECT doc_id, source, lang, CASE WHEN contains(text, '|') THEN 'table' WHEN contains(text, '!!') THEN 'shouting'
+    WHEN length(text) < 500 THEN 'note' ELSE 'prose' END AS topic,
+    coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS n_tokens
+  FROM documents
+), cells AS (SELECT source, lang, topic, sum(n_tokens)::DOUBLE AS t FROM described GROUP BY ALL),
+shares AS (
+  SELECT 0 AS dim, source AS name, sqrt(sum(t)) AS s FROM cells GROUP BY source
+  UNION ALL SELECT 1, lang, sqrt(sum(t)) FROM cells GROUP BY lang
+  UNION ALL SELECT 2, topic, sqrt(sum(t)) FROM cells GROUP BY topic
+), targets AS (SELECT dim, name, s / sum(s) OVER (PARTITION BY dim) * (SELECT sum(t) FROM cells) AS goal FROM shares),
+goals AS (
+  SELECT source, lang, topic, t, a.goal AS g0, b.goal AS g1, c.goal AS g2 FROM cells
+  JOIN targets a ON a.dim = 0 AND a.name IS NOT DISTINCT FROM source
+  JOIN targets b ON b.dim = 1 AND b.name IS NOT DISTINCT FROM lang
+  JOIN targets c ON c.dim = 2 AND c.name IS NOT DISTINCT FROM topic
+), raked AS (
+  SELECT source, lang, topic, t, g0, g1, g2, 1.0::DOUBLE AS w, 0 AS step FROM goals
+  UNION ALL
+  SELECT source, lang, topic, t, g0, g1, g2, w * CASE step % 3
+      WHEN 0 THEN g0 / nullif(sum(w * t) OVER (PARTITION BY source), 0)
+      WHEN 1 THEN g1 / nullif(sum(w * t) OVER (PARTITION BY lang), 0)
+      ELSE g2 / nullif(sum(w * t) OVER (PARTITION BY topic), 0) END, step + 1
+  FROM raked WHERE step < 150
+), final AS (SELECT source, lang, topic, t, w FROM raked WHERE step = 150),
+scales AS (
+  SELECT w, (0.5 * sum(t) OVER () - coalesce(sum(t) OVER (ORDER BY w DESC, source, lang, topic ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(w * t) OVER (ORDER BY w DESC, source, lang, topic ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS s
+  FROM final
+), scale AS (SELECT max_by(s, w) AS s FROM scales WHERE s * w <= 1)
+SELECT doc_id, source, lang, topic, n_tokens, round(least(1, s * w), 6) AS probability,
+  ('0x' || substr(md5('7:' || coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT / 281474976710656.0::DOUBLE < least(1, s * w) AS sampled
+FROM described JOIN final f USING (source, lang, topic), scale
+"""
+
+
+@query("op7_source_mixing", MIXING_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.col("text")
+    docs = table(spark, sf_dir, "documents")
+    slim = docs.select("doc_id", "source", "lang", mixing.topic_of(text).alias("topic"), mixing.n_tokens(text).alias("n_tokens"))
+    found = mixing.mix(checkpointed(slim))
+    return found.select("doc_id", "source", "lang", "topic", "n_tokens", F.round("probability", 6).alias("probability"), "sampled")
+
+
 @query("op9_simhash_near_dedup")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
