@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm import decontaminate, langid, line_dedup, mixing, simhash
+from lamina.llm import decontaminate, langid, line_dedup, mixing, simhash, topk
 from lamina.llm.common import checkpointed, in_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,6 +59,26 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "text", "n_lines", n_removed, F.array_join("removed_lines", ",").alias("removed_lines"))
 
 
+TOP_K_SQL = """
+WITH clean AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::BIGINT AS score
+  FROM clean q, clean c WHERE q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+FROM scored QUALIFY rank <= 10
+"""
+
+
+@query("op2_exact_top_k", TOP_K_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", topk.scaled(F.col("embedding")).alias("embedding"))
+    return topk.top_k(rows, F.col("vec_id") % 100 == 0)
+
+
 DECONTAMINATION_SQL = r"""
 WITH item_words AS (
   SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
