@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm import decontaminate, langid, line_dedup, mixing, simhash, topk
+from lamina.llm import decontaminate, langid, line_dedup, mixing, pst, simhash, topk
 from lamina.llm.common import checkpointed, in_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,6 +79,14 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(rows, F.col("vec_id") % 100 == 0)
 
 
+@query("op3_suffix_tree_scoring")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = in_fold("doc_id", 5, 1)
+    tree, counts = pst.train(docs.where(~held_out).select("text"))
+    return pst.score(docs.select("doc_id", held_out.alias("held_out"), "text"), tree, counts)
+
+
 DECONTAMINATION_SQL = r"""
 WITH item_words AS (
   SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
