@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm import decontaminate, langid, line_dedup, mixing, pst, simhash, topk
+from lamina.llm import decontaminate, langid, line_dedup, mixing, ordinal, pst, simhash, topk
 from lamina.llm.common import checkpointed, in_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -173,6 +173,14 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "source", "lang", "topic", "n_tokens", F.round("probability", 6).alias("probability"), "sampled")
 
 
+@query("op8_ordinal_quality")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels")
+    ratings = labels.select("doc_id", ordinal.graded(F.col("quality"), F.col("toxic")).alias("grade"))
+    return ordinal.grade(docs, ordinal.train(docs, ratings)).drop("text")
+
+
 @query("op9_simhash_near_dedup")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
