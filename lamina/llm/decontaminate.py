@@ -20,7 +20,8 @@ from pyspark.sql import types as T
 from lamina.llm.common import with_text_columns
 
 WINDOW = 10
-WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+# A word as it stands in the text, before A-Z are lower-cased.
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 # By byte of UTF-8 text: what a word may hold (lower-cased) stays, anything else is a gap.
 KEEP = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 or 48 <= b <= 57 else 32 for b in range(256)
