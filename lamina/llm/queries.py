@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm import decontaminate, langid, line_dedup, mixing, ordinal, pst, simhash, topk
+from lamina.llm import decontaminate, langid, line_dedup, mixing, ordinal, pii, pst, simhash, topk
 from lamina.llm.common import checkpointed, in_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,6 +127,14 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op6_personal_data")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+    counts = [pii.of_kind(F.col("base"), kind).alias(f"n_{kind}") for kind in pii.KINDS]
+    written = pii.written(F.col("base")).cast("binary")
+    return found.select("doc_id", *counts, F.sha2(written, 256).alias("base_sha256"), pii.written(F.col("spans")).alias("spans"))
+
+
 MIXING_SQL = r"""
 WITH RECURSIVE described AS (
   SELECT doc_id, source, lang, CASE WHEN contains(text, '|') THEN 'table' WHEN contains(text, '!!') THEN 'shouting'
