@@ -7,10 +7,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm import decontaminate, langid, line_dedup, mixing, ordinal, pii, pst, simhash, topk
+from lamina.llm import decontaminate, langid, licenses, line_dedup, mixing, ordinal, pii, pst, simhash, topk
 from lamina.llm.common import checkpointed, in_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,6 +127,72 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def template_rows() -> str:
+    quoted = [(i, name, text.replace("'", "''")) for i, (name, text) in enumerate(licenses.TEMPLATES)]
+    return ", ".join(f"({i}, '{name}', '{text}')" for i, name, text in quoted)
+
+
+LICENSE_SQL = rf"""
+WITH files AS (
+  SELECT doc_id, text, source || '/' || (doc_id // 2000) || CASE WHEN doc_id % 2000 = 0 THEN '/LICENSE'
+    WHEN doc_id % 100 = 0 THEN '/' || (doc_id // 100) || '/LICENSE' ELSE '/' || (doc_id // 100) || '/' || doc_id || '.txt' END AS path
+  FROM documents
+), placed AS (SELECT doc_id, text, path, regexp_replace(path, '/?[^/]*$', '') AS dir FROM files),
+templates(number, license, said) AS (VALUES {template_rows()}),
+template_words AS (
+  SELECT number, license, word, count(*) AS c
+  FROM (SELECT number, license, unnest(regexp_extract_all(lower(said), '[a-z0-9]+')) AS word FROM templates) GROUP BY ALL
+), total AS (SELECT count(*) AS n FROM files),
+held AS (SELECT word, count(*) AS df FROM (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS word FROM files) GROUP BY word),
+weights AS (
+  SELECT word, ln((1 + n) / (1 + coalesce(df, 0))) + 1 AS weight
+  FROM (SELECT DISTINCT word FROM template_words) LEFT JOIN held USING (word), total
+), shares AS (
+  SELECT number, license, word, c * weight / sqrt(sum((c * weight) ** 2) OVER (PARTITION BY number)) AS share FROM template_words JOIN weights USING (word)
+), units AS (
+  SELECT doc_id, -1 AS unit, text AS said FROM files
+  UNION ALL SELECT doc_id, unnest(range(len(ls)))::INTEGER, unnest(ls) FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM files)
+), unit_words AS (
+  SELECT doc_id, unit, word, count(*) AS c
+  FROM (SELECT doc_id, unit, unnest(regexp_extract_all(lower(said), '[a-z0-9]+')) AS word FROM units) GROUP BY ALL
+), lengths AS (
+  SELECT doc_id, unit, sqrt(sum(CASE WHEN weight IS NULL THEN c * (ln(1 + n) + 1) ** 2 ELSE (c * weight) ** 2 END)) AS length
+  FROM unit_words LEFT JOIN weights USING (word), total GROUP BY doc_id, unit
+), products AS (
+  SELECT doc_id, unit, number, license, sum(u.c * weight * share) AS product
+  FROM unit_words u JOIN weights USING (word) JOIN shares USING (word) GROUP BY ALL
+), scored AS (
+  SELECT doc_id, unit, license, round(product / length, 6) AS score FROM products JOIN lengths USING (doc_id, unit) WHERE round(product / length, 6) >= 0.7
+), own AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, license, unit) = 1),
+owners AS (
+  SELECT dir, license FROM placed JOIN own USING (doc_id) WHERE path LIKE '%/LICENSE'
+  QUALIFY row_number() OVER (PARTITION BY dir ORDER BY score DESC, license) = 1
+), above AS (
+  SELECT p.doc_id, o.license, o.dir FROM placed p JOIN owners o ON p.dir = o.dir OR starts_with(p.dir, o.dir || '/')
+  QUALIFY row_number() OVER (PARTITION BY p.doc_id ORDER BY length(o.dir) DESC) = 1
+)
+SELECT doc_id, path, own.license AS own_license, score, unit, coalesce(own.license, above.license) AS license,
+  CASE WHEN own.license IS NULL THEN above.dir END AS from_dir
+FROM files LEFT JOIN own USING (doc_id) LEFT JOIN above USING (doc_id)
+"""
+
+
+def stand_in_path() -> Column:
+    """Documents have no path: they stand as files in directories of a hundred, those in directories of their source.
+
+    Every hundredth is its directory's license file.
+    """
+    number = F.col("doc_id")
+    outer, inner = F.expr("doc_id div 2000").cast("string"), F.expr("doc_id div 100").cast("string")
+    named = F.when(number % 2000 == 0, F.lit("LICENSE")).when(number % 100 == 0, F.concat(inner, F.lit("/LICENSE")))
+    return F.concat_ws("/", "source", outer, named.otherwise(F.concat(inner, F.lit("/"), number, F.lit(".txt"))))
+
+
+@query("op5_license_scan", LICENSE_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"), stand_in_path())
+
+
 @query("op6_personal_data")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.personal_data(table(spark, sf_dir, "documents"))
