@@ -88,7 +88,8 @@ class Forest:
 
 
 def near(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    return np.nonzero(np.bitwise_count(a[:, None] ^ b[None, :]) <= radius)
+    # Unsigned: of a negative number, numpy counts the bits of the absolute value.
+    return np.nonzero(np.bitwise_count(a.view(np.uint64)[:, None] ^ b.view(np.uint64)[None, :]) <= radius)
 
 
 def links_of_chunk(home: np.ndarray, guests: Iterator[np.ndarray], radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -146,9 +147,13 @@ def fingerprint_links(prints: DataFrame, radius: int = RADIUS, chunk: int = 1 <<
             whole = parts == 1
             keys = [(tile[whole], np.zeros(whole.sum(), np.int64), role[whole], prints_[whole])]
             for t in np.unique(tile[~whole]):
-                for part in range(n := chunks[t]):
-                    mine = (tile == t) & ((role == 1) | (prints_.view(np.uint64) % np.uint64(n) == part))
-                    keys.append((tile[mine], np.full(mine.sum(), part), role[mine], prints_[mine]))
+                of_tile = tile == t
+                own_part = (prints_.view(np.uint64) % np.uint64(n := chunks[t])).astype(np.int64)
+                for part in range(n):
+                    # Guests come to every part; of the tile's own, one part is held, and those before it are guests.
+                    mine = of_tile & ((role == 1) | (own_part <= part))
+                    guest = np.where(own_part[mine] == part, role[mine], 1)
+                    keys.append((tile[mine], np.full(mine.sum(), part), guest, prints_[mine]))
             tile, part, role, prints_ = (np.concatenate(c) for c in zip(*keys))
             order = np.lexsort((role, part, tile))
             tile, part, role, prints_ = tile[order], part[order], role[order], prints_[order]
