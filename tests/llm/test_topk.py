@@ -1,0 +1,58 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from lamina.llm import topk
+
+
+def brute(rows, k):
+    alive = sorted({(i, tuple(v)) for i, v in rows if i is not None and v is not None})
+    out = []
+    for q, v in {i: v for i, v in reversed(alive) if i % 10 == 0}.items():
+        scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in alive if i != q)
+        out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored[:k])]
+    return sorted(out)
+
+
+def vectors(spark, rows):
+    return spark.createDataFrame(rows, "vec_id long, embedding array<long>")
+
+
+def clustered(seed, n):
+    draw = random.Random(seed)
+    centres = [[draw.randint(-500, 500) for _ in range(6)] for _ in range(7)]
+    return [(i, [c + draw.randint(-40, 40) for c in draw.choice(centres)]) for i in range(n)]
+
+
+@pytest.mark.parametrize("bounds", [{}, {"pivots": 5}, {"pivots": 300, "candidates_per_group": 30, "queries_per_group": 3}])
+def test_equals_brute_force(spark, bounds):
+    rows = clustered(1, 300) + [(1000 + i, [3, 1, 4, 1, 5, 9]) for i in range(120)]
+    found = topk.top_k(vectors(spark, rows), F.col("vec_id") % 10 == 0, **bounds)
+    assert sorted(map(tuple, found.collect())) == brute(rows, 10)
+
+
+def test_ties_go_to_the_smaller_id_and_few_candidates_are_all(spark):
+    rows = [(10, [1, 1]), (3, [2, 0]), (1, [0, 2]), (2, [1, 1]), (20, [5, 5])]
+    found = topk.top_k(vectors(spark, rows), F.col("vec_id") % 10 == 0, k=3).collect()
+    assert [(r.query_id, r.rank, r.vec_id) for r in sorted(found)] == [(10, 1, 20), (10, 2, 1), (10, 3, 2), (20, 1, 1), (20, 2, 2), (20, 3, 3)]
+    assert len(topk.top_k(vectors(spark, rows), F.col("vec_id") % 10 == 0, k=99).collect()) == 8
+
+
+def test_odd_vectors(spark):
+    rows = [(0, [1, 2]), (None, [9, 9]), (1, None), (2, []), (3, [4]), (4, [1, 1, 1]), (0, [1, 2]), (5, [1, 1]), (5, [1, 1])]
+    found = topk.top_k(vectors(spark, rows).withColumn("cell", F.lit("x")), F.col("vec_id") % 10 == 0)
+    assert sorted(map(tuple, found.collect())) == [(0, 1, 3, 4), (0, 2, 4, 3), (0, 3, 5, 3), (0, 4, 2, 0)]
+
+
+def test_wild_components_take_no_part(spark):
+    nan, inf = float("nan"), float("inf")
+    raw = spark.createDataFrame([(0, [0.5, -0.0003]), (1, [nan]), (2, [1.0, inf]), (3, [None, 1.0]), (4, None), (5, [])], "vec_id long, e array<float>")
+    rows = {r.vec_id: r.v for r in raw.select("vec_id", topk.scaled(F.col("e")).alias("v")).collect()}
+    assert rows == {0: [512, -1], 1: None, 2: None, 3: None, 4: None, 5: []}
+
+
+def test_empty_table_and_no_queries(spark):
+    assert topk.top_k(vectors(spark, []), F.lit(True)).count() == 0
+    assert topk.top_k(vectors(spark, [(1, [1])]), F.col("vec_id") == 2).count() == 0
+    assert topk.top_k(vectors(spark, [(1, [1])]), F.lit(True)).count() == 0
