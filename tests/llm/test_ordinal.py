@@ -1,0 +1,86 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from lamina.llm import ordinal
+from tests.llm.conftest import ODD
+
+
+@pytest.fixture(scope="module")
+def rated(spark, make_docs, prose):
+    rows, grades = [], []
+    for i in range(400):
+        grade = i % 3
+        words = prose(i, 40).split()
+        words[5:7] = [["scum", "idiot"], ["BUY!!", "NOW!!"], ["indeed", "hence"]][grade]
+        rows.append((i, " ".join(words)))
+        grades.append((i, grade))
+    return make_docs(rows), spark.createDataFrame(grades, "doc_id long, grade int")
+
+
+def test_held_out_grades_are_found(rated):
+    docs, ratings = rated
+    model = ordinal.train(docs.where("doc_id < 300"), ratings.where("doc_id < 300"))
+    rows = ordinal.grade(docs.where("doc_id >= 300"), model).join(ratings, "doc_id").collect()
+    assert np.mean([abs(r.expected_grade - r.grade) < 0.5 for r in rows]) > 0.95
+    assert np.mean([r.selected == (r.grade == 2) for r in rows]) > 0.95
+    assert all(0 <= r.top_probability <= 1 and 0 <= r.expected_grade <= 2 for r in rows)
+
+
+def test_gradient_by_differences():
+    """The fitted likelihood is a maximum: moving any parameter lowers it."""
+    draw = np.random.default_rng(3)
+    rows = [np.unique(draw.integers(0, 12, 6)) for _ in range(300)]
+    true = np.linspace(-1.5, 1.5, 12)
+    y = np.digitize([true[r].sum() + draw.logistic() for r in rows], [-1, 0.5, 2]).astype(float)
+    grades, thresholds, weights = ordinal.fit(rows, y, rounds=3000, penalty=1e-3)
+
+    def loss(t, w):
+        s = np.array([w[r].sum() for r in rows])
+        cumulative = np.column_stack([np.zeros(len(s)), ordinal.logistic(t[None, :] - s[:, None]), np.ones(len(s))])
+        k = np.searchsorted(grades, y)
+        p = cumulative[np.arange(len(s)), k + 1] - cumulative[np.arange(len(s)), k]
+        return -np.log(p).mean() + 0.5 * 1e-3 * (w[:12] ** 2).sum()
+
+    assert grades == [0, 1, 2, 3] and (np.diff(thresholds) > 0).all()
+    here = loss(thresholds, weights)
+    for i in range(3):
+        for step in (-0.05, 0.05):
+            moved = thresholds.copy()
+            moved[i] += step
+            assert loss(moved, weights) > here
+    for i in range(12):
+        for step in (-0.05, 0.05):
+            moved = weights.copy()
+            moved[i] += step
+            assert loss(thresholds, moved) > here
+    assert np.corrcoef(weights[:12], true)[0, 1] > 0.95
+
+
+def test_tails_fall_with_the_grade():
+    model = ordinal.Model([0.0, 1.0, 3.0], np.array([-1.0, 2.0]), np.zeros(4), 0.5)
+    tails = model.tails(np.linspace(-5, 5, 11))
+    assert (tails[:, 0] > tails[:, 1]).all() and (np.diff(tails, axis=0) > 0).all()
+
+
+def test_odd_rows_ratings_and_columns(spark, rated, odd):
+    docs, ratings = rated
+    extra = spark.createDataFrame([(1, None), (None, 2), (2, 0), (2, 2), (9999, 1)], "doc_id long, grade int")
+    model = ordinal.train(docs.union(docs.limit(5)), ratings.union(extra))
+    clash = odd.withColumn("selected", F.lit("x")).withColumn("words", F.lit("y")).withColumn("grade", F.lit(5))
+    rows = ordinal.grade(clash, model).collect()
+    assert len(rows) == len(ODD) and len({r.expected_grade for r in rows if r.doc_id in (1, 2, 3)}) == 1
+    assert len({r.expected_grade for r in rows if r.doc_id == 7}) == 1
+
+
+@pytest.mark.parametrize("grades", [[], [(0, 1), (1, 1)]])
+def test_nothing_to_learn(spark, rated, odd, grades):
+    assert ordinal.train(rated[0], spark.createDataFrame(grades, "doc_id long, grade int")) is None
+    rows = ordinal.grade(odd, None).collect()
+    assert len(rows) == len(ODD) and all(r.selected and r.expected_grade is None for r in rows)
+
+
+def test_grades_of_labels(spark):
+    rows = spark.createDataFrame([(1, 0), (0, 0), (1, 1), (0, 1), (None, 1), (1, None)], "q int, t int")
+    found = [r.g for r in rows.select(ordinal.graded(F.col("q"), F.col("t")).alias("g")).collect()]
+    assert found == [2, 1, 0, 0, None, None]

@@ -1,0 +1,58 @@
+import hashlib
+
+import corpus_pipeline as p
+from lamina.llm import simhash
+from tests.llm.conftest import SCHEMA
+from tests.llm.test_decontaminate import brute as contaminated
+from tests.llm.test_line_dedup import brute as deduplicated
+from tests.llm.test_simhash import roots
+
+
+def corpus(prose):
+    """English and German prose, copies, a shared passage, benchmark passages, symbols, nulls."""
+    shared = "\n".join(prose(900 + i, 9) for i in range(4))
+    item = prose(999, 14)
+    rows = [(i, prose(i, 80, ["en", "de"][i % 2]), ["en", "de"][i % 2], f"s{i % 3}", 0) for i in range(60)]
+    rows += [(100, rows[3][1], "de", "s1", 0), (101, rows[4][1] + " more", "en", "s1", 0)]
+    rows += [(110 + i, f"{prose(200 + i, 30)}\n{shared}\n{prose(300 + i, 30)}", "en", "s0", 0) for i in range(3)]
+    rows += [(120, f"{prose(400, 40)} {item} {prose(401, 40)}", "en", "s2", 0), (130, "123 !!", "en", "s0", 0), (131, None, "en", "s0", 0), (132, "", None, None, None)]
+    return rows, [(1, item), (2, prose(998, 5))]
+
+
+def test_stages_against_brute_force(spark, prose, tmp_path):
+    rows, items = corpus(prose)
+    docs = spark.createDataFrame(rows, SCHEMA)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    given = {r[0]: r[1] for r in rows}
+    stages, kept = dict(p.STAGES), docs
+    found = {}
+    for name, stage in p.STAGES[:-1]:
+        kept = stage(spark, kept, str(tmp_path))
+        assert kept.columns == docs.columns
+        found[name] = {r.doc_id: r.text for r in kept.collect()}
+        kept = spark.createDataFrame(kept.collect(), SCHEMA)
+
+    expected = {i: t for i, t in given.items() if any(c.isalpha() for c in t or "")}
+    assert found["language_id"] == expected
+    expected = {i: t for i, t in deduplicated(list(expected.items()), 3).items() if t.strip()}
+    assert found["line_dedup"] == expected
+    prints = {i: simhash.fingerprint(t) for i, t in expected.items()}
+    linked = [(a, b) for a in prints for b in prints if ((prints[a] ^ prints[b]) & (2**64 - 1)).bit_count() <= 3]
+    expected = {i: t for i, t in expected.items() if roots(prints, linked)[i] == i}
+    assert found["simhash_near_dedup"] == expected and 100 not in expected
+    expected = {i: t for i, t in expected.items() if not contaminated(t, items, 10)[1]}
+    assert found["benchmark_decontamination"] == expected and 120 not in expected
+
+    last = stages["source_mixing"](spark, kept, str(tmp_path)).collect()
+    for r in last:
+        assert int(hashlib.md5(f"7:{r.doc_id}".encode()).hexdigest()[:12], 16) / 2**48 < r.probability
+    whole = p.run(spark, str(tmp_path))
+    assert sorted((r.doc_id, r.text) for r in whole.collect()) == sorted((r.doc_id, r.text) for r in last) and 0 < len(last) < len(expected)
+    assert {r.lang for r in last} == {"en", "de"} and {r.n_chars for r in last if r.doc_id == 110} <= {len(given[110])}
+
+
+def test_no_documents(spark, tmp_path):
+    spark.createDataFrame([], SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    assert p.run(spark, str(tmp_path)).count() == 0
