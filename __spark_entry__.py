@@ -49,8 +49,9 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     line, customer = F.col("l_linenumber"), F.col("o_custkey")
     pickup = F.col("o_orderdate") + minutes(customer % 1440)
     landed = F.col("o_orderdate") + F.make_dt_interval(line % 4)
-    fare = F.floor(F.col("o_totalprice") / 4.5 - 2000) / 100.0
-    tip = F.floor(F.col("l_extendedprice") * F.col("l_discount")) / 100.0
+    # Some amounts are no whole number of ten-thousandths, and are to be added as they are.
+    fare = F.floor(F.col("o_totalprice") / 4.5 - 2000) / 100.0 + F.when(line == 6, 0.00003).otherwise(0.0)
+    tip = F.floor(F.col("l_extendedprice") * F.col("l_discount")) / 100.0 + F.when(line == 5, 0.00004).otherwise(0.0)
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         line.alias("VendorID"),
         pickup.alias(PICKUP),
@@ -114,7 +115,7 @@ def scan_profile(spark, sf_dir):
 
 
 def row_count(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").agg(F.count(F.lit(1)).alias("row_count"))
+    return files.rows_of(table(spark, sf_dir, "lineitem"))
 
 
 CONFORM_SCHEMA = T.StructType(
@@ -221,6 +222,19 @@ def clean_pipeline(spark, sf_dir):
     return wall_clock(trips.clean_trips(conformed_trips(spark, sf_dir)).select(*TRIP_COLUMNS))
 
 
+# Two ingest months side by side, each cleaned by itself as a month's run does it.
+CLEAN_MONTHS = ((1995, 3), (1995, 4))
+
+
+def clean_by_month(spark, sf_dir):
+    conformed = conformed_trips(spark, sf_dir)
+    months = [
+        trips.clean_trips(trips.in_reach(conformed, year, month)).where((F.col(YEAR) == year) & (F.col(MONTH) == month))
+        for year, month in CLEAN_MONTHS
+    ]
+    return wall_clock(reduce(DataFrame.unionByName, months).select(*TRIP_COLUMNS))
+
+
 def derived_columns(spark, sf_dir):
     df = trips.add_derived(conformed_trips(spark, sf_dir))
     return wall_clock(df.select("VendorID", PICKUP, "fare_amount", "tip_amount", *DERIVED_COLUMNS))
@@ -328,6 +342,7 @@ def dq_custom(spark, sf_dir):
     largest, lines = F.max("l_quantity"), F.count_if(F.col("l_linenumber") == 1) / F.count(F.lit(1))
     suite.expect_custom("largest quantity", largest <= 50, observed=largest, threshold=50)
     suite.expect_custom("share of first lines", lines >= 0.5, observed=lines, threshold=0.5)
+    suite.expect_custom("largest of an unknown column", F.max("l_nowhere") > 0)
     return report(suite, table(spark, sf_dir, "lineitem"))
 
 
@@ -343,6 +358,11 @@ def dq_suite_report(spark, sf_dir):
     return report(suites.silver_suite(), silver_trips(spark, sf_dir))
 
 
+def dq_silver_gate(spark, sf_dir):
+    bronze_rows = files.rows_of(raw_trips(spark, sf_dir)).first()["row_count"]
+    return report(suites.silver_suite(bronze_rows), silver_trips(spark, sf_dir))
+
+
 def dq_gold_report(spark, sf_dir):
     name = "gold_daily_zone_trips"
     return report(suites.gold_suite(name), summarize(silver_trips(spark, sf_dir), trips.GOLD_BY_NAME[name]))
@@ -368,6 +388,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "retention_metrics": retention_metrics,
     "rule_report": rule_report,
     "clean_pipeline": clean_pipeline,
+    "clean_by_month": clean_by_month,
     "derived_columns": derived_columns,
     "dim_join_left": dim_join_left,
     "dim_join_two_roles": dim_join_two_roles,
@@ -387,6 +408,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_custom": dq_custom,
     "dq_retention": dq_retention,
     "dq_suite_report": dq_suite_report,
+    "dq_silver_gate": dq_silver_gate,
     "dq_gold_report": dq_gold_report,
     "dq_bronze_report": dq_bronze_report,
 }
@@ -399,8 +421,8 @@ orders_and_lines AS (
     o_orderdate + to_minutes(CAST(o_custkey % 1440 AS INTEGER)) AS pickup,
     CAST((l_orderkey * 13 + l_linenumber * 37) % 1560 - 60 AS INTEGER) AS ride_minutes,
     o_orderdate + to_days(CAST(l_linenumber % 4 AS INTEGER)) AS landed,
-    floor(o_totalprice / 4.5::DOUBLE - 2000) / 100.0::DOUBLE AS fare,
-    floor(l_extendedprice * l_discount) / 100.0::DOUBLE AS tip
+    floor(o_totalprice / 4.5::DOUBLE - 2000) / 100.0::DOUBLE + CASE WHEN l_linenumber = 6 THEN 0.00003::DOUBLE ELSE 0 END AS fare,
+    floor(l_extendedprice * l_discount) / 100.0::DOUBLE + CASE WHEN l_linenumber = 5 THEN 0.00004::DOUBLE ELSE 0 END AS tip
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 ),
 raw_trips AS (
@@ -477,18 +499,19 @@ silver AS (
 )"""
 
 
-def units_sql(column: str) -> str:
-    return f"sum(CAST(round({column} * 10000) AS BIGINT))"
+def exact_sql(column: str) -> str:
+    """Sum of the values as they are, to ten decimals, as a whole number of those."""
+    return f"sum(CAST(round({column} * 1e10) AS HUGEINT))"
 
 
 def total_sql(column: str) -> str:
-    """Sum rounded half up to cents, in whole numbers (amounts here are not negative)."""
-    return f"CAST((2 * {units_sql(column)} + 100) // 200 AS DOUBLE) / 100"
+    """Sum rounded half up to cents (amounts here are not negative)."""
+    return f"CAST(({exact_sql(column)} + 50000000) // 100000000 AS DOUBLE) / 100"
 
 
 def mean_sql(column: str) -> str:
     count = f"count({column})"
-    return f"CAST((2 * {units_sql(column)} + 100 * {count}) // (200 * {count}) AS DOUBLE) / 100"
+    return f"CAST(({exact_sql(column)} + 50000000 * {count}) // (100000000 * {count}) AS DOUBLE) / 100"
 
 
 MINUTES_SQL = "sum(CAST(trip_duration_minutes AS BIGINT))"
@@ -669,6 +692,8 @@ ORACLES: dict[str, str] = {
         for name, rule in RULES_SQL.items()
     ),
     "clean_pipeline": f"WITH {CLEAN_SQL} SELECT {', '.join(TRIP_COLUMNS)} FROM clean",
+    "clean_by_month": f"""WITH {CLEAN_SQL} SELECT {', '.join(TRIP_COLUMNS)} FROM clean
+        WHERE ({YEAR}, {MONTH}) IN ({', '.join(map(str, CLEAN_MONTHS))})""",
     "derived_columns": f"WITH {TRIPS_SQL} SELECT VendorID, {PICKUP}, fare_amount, tip_amount, {DERIVED_SQL} FROM raw_trips",
     "dim_join_left": f"""
         WITH {ZONES_SQL} SELECT o_orderkey, location, Borough AS borough, Zone AS zone
@@ -763,6 +788,7 @@ ORACLES: dict[str, str] = {
                 "{seen} >= 0.5",
                 0.5,
             ),
+            ("largest of an unknown column", "error", None, "false", None),
         ],
     ),
     "dq_retention": f"""
@@ -771,6 +797,21 @@ ORACLES: dict[str, str] = {
           FROM ({RETENTION_SQL.format(by=f"{YEAR}, {MONTH},", group=f"GROUP BY {YEAR}, {MONTH}")})
         )""",
     "dq_suite_report": report_sql("silver_yellow_tripdata", SILVER_SQL, "silver", SILVER_CHECKS),
+    "dq_silver_gate": report_sql(
+        "silver_yellow_tripdata",
+        SILVER_SQL,
+        "silver",
+        [
+            *SILVER_CHECKS,
+            (
+                "expect_bronze_to_silver_retention_within_bounds",
+                "error",
+                "count(*) / (SELECT count(*) FROM raw_trips)::DOUBLE",
+                "{seen} >= 0.8 AND {seen} <= 1.0",
+                0.8,
+            ),
+        ],
+    ),
     "dq_gold_report": report_sql(
         "gold_gold_daily_zone_trips",
         f"{SILVER_SQL}, daily AS ({GOLD_SQL['gold_daily_zone_trips']})",

@@ -18,13 +18,14 @@ _ROWS = "_rows"
 class Metric:
     """An output column: `count` of rows, or `sum` / `mean` of the non-null values of a column.
 
-    `digits` states how many decimals the column carries; sums are then exact. None adds doubles.
+    `per` states the unit that the column counts in, as units in 1 (see `exact`): values that are
+    whole units are summed exactly, others as they are. None adds doubles.
     """
 
     name: str
     kind: str
     column: str | None = None
-    digits: int | None = None
+    per: int | None = None
     places: int = 2
 
 
@@ -57,12 +58,12 @@ def count(name: str) -> Metric:
     return Metric(name, "count")
 
 
-def total(name: str, column: str, digits: int | None = None, places: int = 2) -> Metric:
-    return Metric(name, "sum", column, digits, places)
+def total(name: str, column: str, per: int | None = None, places: int = 2) -> Metric:
+    return Metric(name, "sum", column, per, places)
 
 
-def mean(name: str, column: str, digits: int | None = None, places: int = 2) -> Metric:
-    return Metric(name, "mean", column, digits, places)
+def mean(name: str, column: str, per: int | None = None, places: int = 2) -> Metric:
+    return Metric(name, "mean", column, per, places)
 
 
 def summarize(df: DataFrame, summary: Summary) -> DataFrame:
@@ -76,18 +77,18 @@ def summarize(df: DataFrame, summary: Summary) -> DataFrame:
     return _finish(df.groupBy(*summary.by).agg(*finals), summary)
 
 
-def rollup_for(df: DataFrame, summaries: Sequence[Summary]) -> DataFrame:
-    """Sums and counts at the union of all the summaries' keys.
+def rollup_for(df: DataFrame, summaries: Sequence[Summary], by: Sequence[str] = ()) -> DataFrame:
+    """Sums and counts at the union of all the summaries' keys (and of `by`).
 
     One pass over the rows then serves every summary through `summarize_rollup`; rounding
     is left to the end, so the tables are those `summarize` gives.
     """
-    keys = list(dict.fromkeys(k for s in summaries for k in s.by))
+    keys = list(dict.fromkeys([*by, *(k for s in summaries for k in s.by)]))
     measured: dict[str, Metric] = {}
     for metric in (m for s in summaries for m in s.metrics if m.column is not None):
         known = measured.setdefault(metric.column, metric)
-        if known.digits != metric.digits:
-            raise ValueError(f"column {metric.column} is measured with different digits")
+        if known.per != metric.per:
+            raise ValueError(f"column {metric.column} is measured in different units")
     partials = [added.alias(name) for m in measured.values() for name, added in _partials(m)]
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_ROWS), *partials)
 
@@ -111,25 +112,25 @@ def summarize_rollup(rollup: DataFrame, summary: Summary) -> DataFrame:
 def _partials(metric: Metric) -> list[tuple[str, Column]]:
     """(name, aggregate) of what a metric is made from; each is added up again by a sum."""
     c = metric.column
-    if metric.digits is None:
+    if metric.per is None:
         return [(f"_sum_{c}", F.sum(c)), (f"_n_{c}", F.count(c))]
     return [
-        (f"_units_{c}", F.sum(exact.units(c, metric.digits))),
-        (f"_beyond_{c}", F.sum(exact.beyond(c, metric.digits))),
+        (f"_units_{c}", F.sum(exact.units(c, metric.per))),
+        (f"_beyond_{c}", F.sum(exact.beyond(c, metric.per))),
         (f"_n_{c}", F.count(c)),
     ]
 
 
 def _final(metric: Metric, *partials: Column) -> Column:
     *added, present = partials
-    if metric.kind == "sum" and metric.digits is None:
+    if metric.kind == "sum" and metric.per is None:
         value = F.round(added[0], metric.places)
     elif metric.kind == "sum":
-        value = exact.total(*added, metric.digits, metric.places)
-    elif metric.kind == "mean" and metric.digits is None:
+        value = exact.total(*added, metric.per, metric.places)
+    elif metric.kind == "mean" and metric.per is None:
         value = F.round(F.try_divide(added[0], present), metric.places)
     elif metric.kind == "mean":
-        value = exact.mean(*added, present, metric.digits, metric.places)
+        value = exact.mean(*added, present, metric.per, metric.places)
     else:
         raise ValueError(f"unknown metric kind {metric.kind!r}")
     return value.alias(metric.name)

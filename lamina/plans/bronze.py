@@ -25,8 +25,9 @@ def raw_path(year: int, month: int) -> str:
 def ingest(spark: SparkSession, year: int, month: int, input_path: str, bronze_dir: str) -> dict:
     """Replace the bronze partition of a month by a raw file (or directory); gives run metadata.
 
-    The copy is a narrow scan-and-write. Counts come from file footers, so that a retried
-    task cannot count twice.
+    The copy is a narrow scan-and-write with the columns of all the raw files. Counts come from
+    file footers, so that a retried task cannot count twice, and the rows written are held against
+    the raw ones.
     """
     input_path, bronze_dir = str(input_path), str(bronze_dir)
     if not storage.exists(spark, input_path):
@@ -36,12 +37,14 @@ def ingest(spark: SparkSession, year: int, month: int, input_path: str, bronze_d
         log.warning("outside the partition layout of %s: %s; see layout_audit for their rows", bronze_dir, strays)
 
     source = files.profile(spark, input_path).first()
-    raw = spark.read.parquet(input_path)
+    raw = files.read_united(spark, input_path)
     log.info("source %s: %s, schema %s", input_path, source.asDict(), raw.schema.simpleString())
     moment = dt.datetime.now(dt.timezone.utc)
-    sinks.replace_partitions(
+    written = sinks.replace_partitions(
         stamp_lineage(raw, year, month, ingested_at=moment), bronze_dir, (YEAR, MONTH), {YEAR: year, MONTH: month}
     )
+    if written != source["row_count"]:
+        raise RuntimeError(f"{written} rows written of {source['row_count']} in {input_path}")
     metadata = {
         "year": year,
         "month": month,

@@ -5,14 +5,13 @@ from __future__ import annotations
 import argparse
 import logging
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from lamina.operators.aggregate import rollup_for, rollup_rows, summarize, summarize_rollup
 from lamina.plans import trips
 from lamina.plans.silver import SILVER_DIR
-from lamina.session import get_spark, size_shuffle
-from lamina.sources import files, sinks
+from lamina.session import get_spark, shuffle_sized_for
+from lamina.sources import files, sinks, storage
 
 log = logging.getLogger(__name__)
 
@@ -24,26 +23,64 @@ def build(df: DataFrame, table_name: str) -> DataFrame:
     return summarize(df, trips.GOLD_BY_NAME[table_name])
 
 
+def rollup_dir(gold_dir: str) -> str:
+    return f"{str(gold_dir).rstrip('/')}/rollup"
+
+
+def partition_times(spark: SparkSession, root: str) -> dict[str, int]:
+    """Partition directory below a layer's root -> when its newest file was written."""
+    newest: dict[str, int] = {}
+    for name, _, changed in storage.files_below(spark, root):
+        directory = name.rpartition("/")[0]
+        newest[directory] = max(changed, newest.get(directory, 0))
+    return newest
+
+
+def stale_silver(spark: SparkSession, silver_dir: str, rolled_dir: str) -> DataFrame | None:
+    """Silver rows of the partitions that the rollup lacks, or holds from before they were written; None for none."""
+    silver, rolled = partition_times(spark, silver_dir), partition_times(spark, rolled_dir)
+    stale = sorted(d for d, written in silver.items() if rolled.get(d, 0) <= written)
+    if not stale:
+        return None
+    paths = [silver_dir] if len(stale) == len(silver) else [f"{silver_dir.rstrip('/')}/{d}" for d in stale]
+    return spark.read.option("basePath", silver_dir).parquet(*paths)
+
+
+def refresh_rollup(spark: SparkSession, silver_dir: str, rolled_dir: str) -> DataFrame:
+    """The rollup of all of silver, for which only partitions that changed since are read.
+
+    It holds sums at ingest month, date, hour, zone and payment type, so that its size follows the calendar
+    and the zones, and is partitioned as silver is; partitions that silver no longer has are dropped.
+    """
+    stale = stale_silver(spark, silver_dir, rolled_dir)
+    if stale is not None:
+        with shuffle_sized_for(spark, files.layer_bytes(spark, silver_dir)):
+            rollup = rollup_for(stale, trips.GOLD, trips.SILVER_PARTITIONS)
+            spread = sinks.spread_by(rollup, trips.SILVER_PARTITIONS)
+            sinks.replace_partitions(spread, rolled_dir, trips.SILVER_PARTITIONS)
+    silver = partition_times(spark, silver_dir)
+    for directory in partition_times(spark, rolled_dir):
+        if directory not in silver:
+            storage.remove(spark, f"{rolled_dir}/{directory}")
+    return spark.read.parquet(rolled_dir)
+
+
 def aggregate(spark: SparkSession, silver_dir: str, gold_dir: str, write_database: bool = True) -> dict:
     """Write the five gold tables; gives row counts.
 
-    Silver is scanned once: a rollup at date, hour, zone and payment type (its size follows
-    the calendar and the zones, not the trips) is kept, and every table is added up from it.
+    They are added up from the rollup beside them, which is brought up to date first.
     """
     silver_dir, gold_dir = str(silver_dir), str(gold_dir)
-    silver = spark.read.parquet(silver_dir)
-    rollup = rollup_for(silver, trips.GOLD).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        silver_rows = rollup_rows(rollup).first()["rows"]
-        rows = {}
-        for table in trips.GOLD:
-            path = f"{gold_dir}/{table.name}"
-            rows[table.name] = sinks.overwrite_table(summarize_rollup(rollup, table), path)
-            log.info("built %s: %d rows", table.name, rows[table.name])
-            if write_database:
-                sinks.write_jdbc(spark.read.parquet(path), sinks.jdbc_options(table.name))
-    finally:
-        rollup.unpersist()
+    options = {table.name: sinks.jdbc_options(table.name) for table in trips.GOLD} if write_database else {}
+    rollup = refresh_rollup(spark, silver_dir, rollup_dir(gold_dir))
+    silver_rows = rollup_rows(rollup).first()["rows"]
+    rows = {}
+    for table in trips.GOLD:
+        path = f"{gold_dir}/{table.name}"
+        rows[table.name] = sinks.overwrite_table(summarize_rollup(rollup, table), path)
+        log.info("built %s: %d rows", table.name, rows[table.name])
+        if write_database:
+            sinks.write_jdbc(spark.read.parquet(path), options[table.name])
     return {"silver_rows": silver_rows, "gold_table_rows": rows}
 
 
@@ -56,7 +93,6 @@ def main(argv: list[str] | None = None) -> None:
     logging.basicConfig(level=logging.INFO)
     spark = get_spark("gold_aggregate")
     try:
-        size_shuffle(spark, files.layer_bytes(spark, args.silver_dir))
         aggregate(spark, args.silver_dir, args.gold_dir, write_database=not args.no_postgres)
     finally:
         spark.stop()

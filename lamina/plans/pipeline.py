@@ -5,13 +5,12 @@ from __future__ import annotations
 import argparse
 import json
 import logging
+from collections.abc import Mapping
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-from lamina.operators.conform import MONTH, YEAR
 from lamina.plans import bronze, gold, silver, suites, trips
-from lamina.session import get_spark, size_shuffle
-from lamina.sources import files, storage
+from lamina.session import get_spark
 
 log = logging.getLogger(__name__)
 
@@ -32,21 +31,39 @@ def run(
 
     The bronze and silver gates look at the month that was just written.
     """
-    month_only = {YEAR: year, MONTH: month}
     results = {"bronze": bronze.ingest(spark, year, month, input_path, bronze_dir)}
     if check:
-        suites.run_bronze_checks(files.only_partitions(spark.read.parquet(str(bronze_dir)), month_only))
+        suites.passed(suites.bronze_suite(), suites.GATES["bronze"].read(spark, bronze_dir, year, month))
     results["silver"] = silver.transform(spark, bronze_dir, silver_dir, year, month, zones_path)
     if check:
-        written = files.only_partitions(spark.read.parquet(str(silver_dir)), month_only)
-        suites.run_silver_checks(written, bronze_row_count=results["bronze"]["row_count"])
+        gate = suites.silver_suite(results["bronze"]["row_count"])
+        suites.passed(gate, suites.GATES["silver"].read(spark, silver_dir, year, month))
+        suites.passed(suites.overlap_suite(), silver.around(spark, silver_dir, year, month))
     results["gold"] = gold.aggregate(spark, silver_dir, gold_dir, write_database)
     if check:
         for table in trips.GOLD:
-            suites.run_gold_checks(spark.read.parquet(f"{gold_dir}/{table.name}"), table.name)
+            suites.passed(suites.gold_suite(table.name), suites.GATES["gold"].read(spark, f"{gold_dir}/{table.name}"))
     return results
 
 
+def run_metrics(spark: SparkSession, results: Mapping) -> DataFrame:
+    """What `run` (or one layer's job, under its name) gave, as rows (layer, metric, value, text).
+
+    A number is in value, anything else in text; metrics of single tables are named table.metric.
+    """
+
+    def rows(layer: str, found: Mapping, prefix: str = ""):
+        for name, value in found.items():
+            if isinstance(value, Mapping):
+                yield from rows(layer, value, f"{prefix}{name}.")
+            else:
+                number = isinstance(value, (int, float)) and not isinstance(value, bool)
+                yield layer, prefix + name, float(value) if number else None, None if number or value is None else str(value)
+
+    flat = [row for layer, found in results.items() for row in rows(layer, found)]
+    return spark.createDataFrame(flat, "layer string, metric string, value double, text string")
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--year", type=int, required=True)
@@ -63,8 +80,6 @@ def main(argv: list[str] | None = None) -> None:
     input_path = args.input or bronze.raw_path(args.year, args.month)
     spark = get_spark("trip_pipeline")
     try:
-        if storage.exists(spark, input_path):
-            size_shuffle(spark, storage.size_bytes(spark, input_path))
         results = run(
             spark,
             args.year,

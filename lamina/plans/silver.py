@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import logging
+from functools import reduce
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lamina.operators.conform import MONTH, YEAR
 from lamina.operators.retention import retention_pct
 from lamina.plans import trips
 from lamina.plans.bronze import BRONZE_DIR, RAW_DIR
-from lamina.session import get_spark, size_shuffle
-from lamina.sources import files, sinks
+from lamina.session import get_spark, shuffle_sized_for
+from lamina.sources import files, sinks, storage
 
 log = logging.getLogger(__name__)
 
@@ -33,15 +36,25 @@ def transform(
 
     One pass over bronze and two shuffles: rows to their key (dedup), then rows to their
     output partition. The rows in and out are counted from file footers.
+
+    A trip that two months hold belongs to the earlier one, however the months are run: a month
+    is deduplicated together with the days that its neighbours share with it, and those days of
+    the next month, if it is in silver, are written again.
     """
     bronze_dir, silver_dir = str(bronze_dir), str(silver_dir)
+    if month and not year:
+        raise ValueError("a month needs its year")
     chosen = {YEAR: year, MONTH: month}
-    bronze = files.read_conformed(spark, bronze_dir, trips.CONTRACT, trips.LINEAGE, only=chosen, mode=mode)
     zones = files.read_csv_table(spark, str(zones_path), trips.ZONES)
-    silver = trips.to_silver(bronze, zones)
-    silver_rows = sinks.replace_partitions(
-        sinks.spread_by(silver, trips.SILVER_PARTITIONS), silver_dir, trips.SILVER_PARTITIONS, chosen
-    )
+    with shuffle_sized_for(spark, files.layer_bytes(spark, bronze_dir, chosen)):
+        if year:
+            silver, also = _month(spark, bronze_dir, silver_dir, year, month, zones, mode)
+        else:
+            bronze = files.read_conformed(spark, bronze_dir, trips.CONTRACT, trips.LINEAGE, mode=mode)
+            silver, also = trips.to_silver(bronze, zones), []
+        silver_rows = sinks.replace_partitions(
+            sinks.spread_by(silver, trips.SILVER_PARTITIONS), silver_dir, trips.SILVER_PARTITIONS, chosen, also
+        )
     bronze_rows = files.row_count(spark, bronze_dir, chosen)
     metadata = {
         "bronze_rows": bronze_rows,
@@ -53,6 +66,31 @@ def transform(
     return metadata
 
 
+def _month(spark, bronze_dir, silver_dir, year, month, zones, mode) -> tuple[DataFrame, list[dict]]:
+    """(rows, further slices): silver of a month, and the shared days of the next if that is there."""
+    first, after = trips.month_span(year, month)
+    before = first - dt.timedelta(days=1)
+
+    def read(only, needed=False):
+        if not needed and not storage.matching(spark, files.partition_glob(bronze_dir, files.INGEST_LEVELS, only)):
+            return []
+        return [files.read_conformed(spark, bronze_dir, trips.CONTRACT, trips.LINEAGE, only=only, mode=mode)]
+
+    following = {YEAR: after.year, MONTH: after.month}
+    parts = [*read({YEAR: year, MONTH: month}, needed=True), *read({YEAR: before.year, MONTH: before.month}), *read(following)]
+    silver = trips.to_silver(trips.in_reach(reduce(DataFrame.unionByName, parts), year, month), zones)
+    ingested = F.make_date(YEAR, MONTH, F.lit(1))
+    own = (ingested >= F.lit(first)) & (ingested < F.lit(after))
+    if not storage.matching(spark, files.partition_glob(silver_dir, files.INGEST_LEVELS, following)):
+        return silver.where(own), []
+    return silver.where(ingested >= F.lit(first)), [{**following, "pickup_date": day} for day in trips.shared_days(after)]
+
+
+def around(spark: SparkSession, silver_dir: str, year: int, month: int | None = None) -> DataFrame:
+    """Silver rows of a month and of the days that its neighbours share with it: where a key may occur once."""
+    return trips.in_reach(spark.read.parquet(str(silver_dir)), year, month)
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--year", type=int)
@@ -65,7 +103,6 @@ def main(argv: list[str] | None = None) -> None:
     logging.basicConfig(level=logging.INFO)
     spark = get_spark("silver_transform")
     try:
-        size_shuffle(spark, files.layer_bytes(spark, args.bronze_dir, {YEAR: args.year, MONTH: args.month}))
         mode = "strict" if args.strict else "lenient"
         transform(spark, args.bronze_dir, args.silver_dir, args.year, args.month, args.zones, mode)
     finally:

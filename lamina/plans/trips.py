@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lamina.operators import clean, derive
@@ -69,12 +72,12 @@ ZONE_ROLES = (
 
 SILVER_PARTITIONS = (YEAR, MONTH, "pickup_date")
 
-# Amounts are published in cents and distances in hundredths of a mile; two more decimals
-# leave room for values that are not, and keep sums exact.
-DIGITS = 4
-_AVG_FARE = mean("avg_fare", "fare_amount", DIGITS)
-_AVG_DISTANCE = mean("avg_trip_distance", "trip_distance", DIGITS)
-_REVENUE = total("total_revenue", "total_amount", DIGITS)
+# Amounts are published in cents and distances in hundredths of a mile, and two more decimals are
+# still exact; times are to the second.
+PER_UNIT, PER_MINUTE = 10_000, 60
+_AVG_FARE = mean("avg_fare", "fare_amount", PER_UNIT)
+_AVG_DISTANCE = mean("avg_trip_distance", "trip_distance", PER_UNIT)
+_REVENUE = total("total_revenue", "total_amount", PER_UNIT)
 _TRIPS = count("trip_count")
 
 GOLD = (
@@ -87,15 +90,15 @@ GOLD = (
     Summary(
         "gold_borough_fares",
         ("pickup_borough",),
-        (_TRIPS, _AVG_FARE, _AVG_DISTANCE, mean("avg_duration_minutes", "trip_duration_minutes")),
+        (_TRIPS, _AVG_FARE, _AVG_DISTANCE, mean("avg_duration_minutes", "trip_duration_minutes", PER_MINUTE)),
     ),
     Summary(
         "gold_revenue_trends",
         ("pickup_date",),
         (
             _TRIPS,
-            total("total_fare", "fare_amount", DIGITS),
-            total("total_tips", "tip_amount", DIGITS),
+            total("total_fare", "fare_amount", PER_UNIT),
+            total("total_tips", "tip_amount", PER_UNIT),
             _REVENUE,
         ),
         ordered=True,
@@ -132,6 +135,35 @@ def clean_trips(df: DataFrame) -> DataFrame:
     return dedup(valid, TRIP_KEY, order=lineage + rest)
 
 
+def month_span(year: int, month: int | None = None) -> tuple[dt.date, dt.date]:
+    """First day of an ingest month (or of a year), and of the next."""
+    first = dt.date(year, month or 1, 1)
+    months = 1 if month else 12
+    return first, dt.date(year + (first.month - 1 + months) // 12, (first.month - 1 + months) % 12 + 1, 1)
+
+
+def shared_days(border: dt.date) -> tuple[dt.date, dt.date]:
+    """The days that the ingest months before and after a border may both hold: the last and the first."""
+    return border - dt.timedelta(days=1), border
+
+
+def in_reach(df: DataFrame, year: int, month: int | None = None) -> DataFrame:
+    """Of trips of all ingest months, those that decide what a month keeps.
+
+    That is the month itself, and of the month before and after the days that either may share with it.
+    """
+    first, after = month_span(year, month)
+    ingested = F.make_date(YEAR, MONTH, F.lit(1))
+    own = (ingested >= F.lit(first)) & (ingested < F.lit(after))
+
+    def at_border(border: dt.date, neighbour: Column) -> Column:
+        low, high = shared_days(border)
+        return neighbour & (F.col(PICKUP) >= F.lit(low)) & (F.col(PICKUP) < F.lit(high + dt.timedelta(days=1)))
+
+    before = ingested == F.add_months(F.lit(first), -1)
+    return df.where(own | at_border(first, before) | at_border(after, ingested == F.lit(after)))
+
+
 def add_derived(df: DataFrame) -> DataFrame:
     df = derive.add_span_columns(df, PICKUP, DROPOFF, "trip_distance", "trip_duration_minutes", "trip_speed_mph")
     df = derive.add_calendar_columns(df, PICKUP, "pickup")

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import math
 import os
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -26,9 +27,8 @@ TUNING = {
 }
 
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
-LOCAL_SHUFFLE_PARTITIONS = 8
+DEFAULT_SHUFFLE_PARTITIONS = "200"
 BYTES_PER_SHUFFLE_PARTITION = 128 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 100_000
 
 
 def get_spark(app_name: str, conf: Mapping[str, str] | None = None) -> SparkSession:
@@ -69,19 +69,25 @@ def get_spark(app_name: str, conf: Mapping[str, str] | None = None) -> SparkSess
     return spark
 
 
-def size_shuffle(spark: SparkSession, input_bytes: int) -> int:
-    """Set the shuffle width from the size of the input, unless somebody chose one.
+@contextmanager
+def shuffle_sized_for(spark: SparkSession, input_bytes: int) -> Iterator[int]:
+    """The shuffle width for a stage with so much input, while it runs, unless somebody chose one.
 
-    The width is an upper bound: adaptive execution merges what turns out small. Local
-    sessions start at 8; otherwise one partition per 128 MB of (compressed) input.
+    One partition per 128 MB of (compressed) input, and one per core at least. It is an upper bound:
+    adaptive execution merges what turns out small. A width from the environment, from spark-submit or
+    set on the session stays.
     """
-    if os.environ.get("SPARK_SHUFFLE_PARTITIONS") or _given(spark, SHUFFLE_PARTITIONS):
-        return int(spark.conf.get(SHUFFLE_PARTITIONS))
-    floor = LOCAL_SHUFFLE_PARTITIONS if spark.sparkContext.master.startswith("local") else 200
-    wanted = math.ceil(input_bytes / BYTES_PER_SHUFFLE_PARTITION)
-    partitions = min(max(floor, wanted), MAX_SHUFFLE_PARTITIONS)
-    spark.conf.set(SHUFFLE_PARTITIONS, str(partitions))
-    return partitions
+    chosen = os.environ.get("SPARK_SHUFFLE_PARTITIONS") or _given(spark, SHUFFLE_PARTITIONS)
+    before = spark.conf.get(SHUFFLE_PARTITIONS)
+    if chosen or before != DEFAULT_SHUFFLE_PARTITIONS:
+        yield int(before)
+        return
+    wanted = max(spark.sparkContext.defaultParallelism, math.ceil(input_bytes / BYTES_PER_SHUFFLE_PARTITION))
+    spark.conf.set(SHUFFLE_PARTITIONS, str(wanted))
+    try:
+        yield wanted
+    finally:
+        spark.conf.set(SHUFFLE_PARTITIONS, before)
 
 
 def _given(spark: SparkSession, key: str) -> bool:

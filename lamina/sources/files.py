@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,29 +15,42 @@ from lamina.operators.conform import MONTH, YEAR, conform
 from lamina.sources import storage
 
 INGEST_LEVELS = (YEAR, MONTH)
+# Partitions whose schemas are looked up side by side.
+SCHEMAS_AT_ONCE = 8
 
 
 def profile(spark: SparkSession, path: str) -> DataFrame:
     """(row_count, column_count, file_count, size_mb) of a parquet file or directory.
 
-    No data column is read: the counts come from the file footers. Files without rows are
-    not seen.
+    Rows are counted from the footers, files (also empty ones) and bytes from the listing. Columns are those
+    of all files together.
     """
-    df = spark.read.parquet(path)
-    per_file = df.groupBy("_metadata.file_path").agg(
-        F.count(F.lit(1)).alias("n"), F.first("_metadata.file_size").alias("size")
-    )
-    return per_file.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
+    df = read_united(spark, path)
+    listed = storage.files_below(spark, path)
+    return rows_of(df).select(
+        "row_count",
         F.lit(len(df.columns)).alias("column_count"),
-        F.count(F.lit(1)).alias("file_count"),
-        F.round(F.coalesce(F.sum("size"), F.lit(0)) / F.lit(1e6), 2).alias("size_mb"),
+        F.lit(len(listed)).cast("long").alias("file_count"),
+        F.round(F.lit(sum(size for _, size, _ in listed)) / F.lit(1e6), 2).alias("size_mb"),
     )
 
 
+def read_united(spark: SparkSession, path: str) -> DataFrame:
+    """A parquet file or directory with the columns of all its files; where one lacks a column it is null.
+
+    Files that give one column different types fail, with an error that names it.
+    """
+    return spark.read.option("mergeSchema", True).parquet(path)
+
+
+def rows_of(df: DataFrame) -> DataFrame:
+    """One row: row_count. Over a parquet scan it reads footers, not data."""
+    return df.agg(F.count(F.lit(1)).alias("row_count"))
+
+
 def row_count(spark: SparkSession, path: str, only: Mapping[str, int] | None = None) -> int:
-    """Rows of a layer, or of the partitions chosen by `only`; reads footers, not data."""
-    return only_partitions(spark.read.parquet(path), only).count()
+    """Rows of a layer, or of the partitions chosen by `only`."""
+    return rows_of(only_partitions(spark.read.parquet(path), only)).first()["row_count"]
 
 
 def only_partitions(df: DataFrame, only: Mapping[str, int | None] | None) -> DataFrame:
@@ -58,18 +73,21 @@ def read_conformed(
     """A partitioned layer whose files may differ in schema from one partition to the next.
 
     Spark reads one scan with one schema, and a column that is `bigint` in one month and
-    `double` in another fails it. So each partition's schema is looked up (one footer), the
-    partitions that agree are read in one scan, each scan is conformed, and the results are
-    united. Without drift that is a single scan. `only` limits the directories listed.
+    `double` in another fails it. So each partition's schema is looked up (all its files together,
+    several partitions at once), the partitions that agree are read in one scan, each scan is
+    conformed, and the results are united. Without drift that is a single scan. `only` limits the
+    directories listed.
     """
     directories = storage.matching(spark, partition_glob(root, levels, only))
     if not directories:
         raise FileNotFoundError(f"no partition {dict(only or {})} under {root}")
     reader = spark.read.option("basePath", root)
-    by_schema: dict[str, list[str]] = {}
-    for directory in directories:
-        by_schema.setdefault(reader.parquet(directory).schema.json(), []).append(directory)
-    scans = [conform(reader.parquet(*group), schema, keep, mode) for group in by_schema.values()]
+    by_schema: dict[str, tuple[T.StructType, list[str]]] = {}
+    with ThreadPoolExecutor(SCHEMAS_AT_ONCE) as pool:
+        found = pool.map(lambda d: spark.read.option("basePath", root).option("mergeSchema", True).parquet(d).schema, directories)
+        for directory, known in zip(directories, found):
+            by_schema.setdefault(known.json(), (known, []))[1].append(directory)
+    scans = [conform(reader.schema(known).parquet(*group), schema, keep, mode) for known, group in by_schema.values()]
     return reduce(DataFrame.unionByName, scans)
 
 
@@ -103,26 +121,21 @@ def _hidden(name: str) -> bool:
 
 
 def layout_audit(spark: SparkSession, root: str, levels: Sequence[str] = INGEST_LEVELS) -> DataFrame:
-    """(in_layout, files, rows) of the parquet files below a directory.
+    """(in_layout, files, rows) of all data files below a directory, and the rows of the parquet ones.
 
-    A file that is not at `level=value/.../file` is skipped by a partitioned read of the
-    root, or makes it fail; here every file is looked up, whatever its place.
+    A file that is not at `level=value/.../file` is skipped by a partitioned read of the root, or makes it
+    fail; here every file is looked up, whatever its place and name. Files come from one listing, rows
+    from footers.
     """
-    place = "/".join(f"{level}=[^/]+" for level in levels)
-    files = (
-        spark.read.option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.parquet")
-        .parquet(root)
-        .groupBy(F.col("_metadata.file_path").alias("path"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    name = root.rstrip("/").rsplit("/", 1)[-1]
-    inside = F.substring_index("path", f"/{name}/", -1)
-    return (
-        files.groupBy(inside.rlike(f"^{place}/[^/]+$").alias("in_layout"))
-        .agg(F.count(F.lit(1)).alias("files"), F.sum("n").alias("rows"))
-        .orderBy("in_layout")
-    )
+    place = re.compile("".join(f"{re.escape(level)}=[^/]+/" for level in levels) + "[^/]+")
+    inside = [bool(place.fullmatch(name)) for name, _, _ in storage.files_below(spark, root)]
+    parquet = spark.read.schema(T.StructType()).option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").parquet(root)
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    above = storage.qualified(spark, root)
+    below = F.substring(path, F.instr(path, F.lit(above)) + F.lit(len(above) + 1), F.length(path))
+    rows = {r.inside: r.n for r in parquet.groupBy(below.rlike(f"^{place.pattern}$").alias("inside")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    found = [(side, inside.count(side), rows.get(side, 0)) for side in (False, True) if side in inside]
+    return spark.createDataFrame(found, "in_layout boolean, files long, rows long")
 
 
 def read_csv_table(spark: SparkSession, path: str, schema: T.StructType, mode: str = "lenient") -> DataFrame:

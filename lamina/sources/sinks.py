@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -15,43 +16,62 @@ class EmptyLayerError(ValueError):
     """Nothing was written, and what was there before is still in place."""
 
 
-def spread_by(df: DataFrame, columns: Sequence[str], partitions: int | None = None) -> DataFrame:
+def spread_by(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Bring rows of one output partition together before a partitioned write.
 
-    By default Spark rebalances: adaptive execution merges small partitions and splits a
-    partition that holds too much, so a hot date becomes several tasks and files of the
-    advisory size. With `partitions` a plain hash repartition of that width is used.
+    Spark rebalances: adaptive execution merges small partitions and splits a partition that
+    holds too much, so a hot date becomes several tasks and files of the advisory size.
     """
-    if partitions is not None:
-        return df.repartition(partitions, *columns)
     return df.hint("rebalance", *columns)
 
 
 def replace_partitions(
-    df: DataFrame, path: str, by: Sequence[str], within: Mapping[str, int | None] | None = None
+    df: DataFrame,
+    path: str,
+    by: Sequence[str],
+    within: Mapping[str, object] | None = None,
+    also: Sequence[Mapping[str, object]] = (),
 ) -> int:
-    """Write a partitioned parquet layer, replacing only the slice it belongs to; gives its rows.
+    """Write a partitioned parquet layer, replacing only the slice it belongs to; gives that slice's rows.
 
     The write is staged and committed with dynamic overwrite, so readers see the old
     partitions until the job succeeds. Dynamic overwrite alone would leave a partition that
     the new data no longer has: with `within` (values of leading partition columns; None
-    for any value) such leftovers of the slice are dropped after the commit. Input without
-    rows raises and changes nothing.
+    for any value) such leftovers of the slice are dropped after the commit, and so are those of
+    the slices in `also`. No rows for the slice raises: an error if it held any, or held none before.
+    What was there is found by one listing before and one after.
     """
     spark = df.sparkSession
-    slice_path = partition_glob(path, list(within or {}), within)
-    directories = partition_glob(path, by, within)
-    marks = {d: storage.first_file(spark, d) for d in storage.matching(spark, directories)}
+    slices = [partition_name(list(w), w) for w in ([within] if within is not None else []) + list(also)]
+    depth = len(by)
+
+    def files_of(listed) -> dict[str, set]:
+        found: dict[str, set] = {}
+        for name, _, changed in listed:
+            parts = name.split("/")
+            if len(parts) == depth + 1 and (not slices or any(s.fullmatch("/".join(parts[:-1])) for s in slices)):
+                found.setdefault("/".join(parts[:-1]), set()).add((parts[-1], changed))
+        return found
+
+    before = files_of(storage.files_below(spark, path))
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
-    after = storage.matching(spark, directories)
-    # A written partition has new files only; where an old file is still there, nothing was written.
-    untouched = [d for d in after if marks.get(d) and storage.exists(spark, marks[d])]
-    if len(untouched) == len(after):
-        raise EmptyLayerError(f"no rows for {slice_path}; partitions left as they were")
-    if within is not None:
+    after = files_of(storage.files_below(spark, path))
+    # A written partition has new files only; where all are old, nothing was written.
+    untouched = [d for d in after if after[d] == before.get(d)]
+    own = [d for d in after if not slices or within is None or slices[0].fullmatch(d)]
+    if all(d in untouched for d in own):
+        raise EmptyLayerError(f"no rows for {dict(within or {})} of {path}; its partitions left as they were")
+    if slices:
         for directory in untouched:
-            storage.remove(spark, directory)
-    return spark.read.option("basePath", path).parquet(slice_path).count()
+            storage.remove(spark, f"{path.rstrip('/')}/{directory}")
+    chosen = path if within is None else partition_glob(path, list(within), within)
+    return spark.read.option("basePath", path).parquet(chosen).count()
+
+
+def partition_name(levels: Sequence[str], values: Mapping[str, object]) -> re.Pattern:
+    """Matches the directories, below the root, of partitions with the given leading values; None is any."""
+    parts = [re.escape(k) + "=" + ("[^/]+" if values[k] is None else re.escape(str(values[k]))) for k in levels]
+    return re.compile("/".join(parts) + "(/.*)?")
 
 
 def overwrite_table(df: DataFrame, path: str) -> int:
@@ -61,15 +81,16 @@ def overwrite_table(df: DataFrame, path: str) -> int:
 
 
 def jdbc_options(dbtable: str, environ: Mapping[str, str] | None = None) -> dict[str, str]:
-    """Connection options for a Postgres table, from POSTGRES_* variables. The password has no default."""
+    """Connection options for a Postgres table, from POSTGRES_* variables. User and password have no default."""
     env = os.environ if environ is None else environ
     host, port = env.get("POSTGRES_HOST", "postgres"), env.get("POSTGRES_PORT", "5432")
-    if "POSTGRES_PASSWORD" not in env:
-        raise KeyError("POSTGRES_PASSWORD is not set")
+    for name in ("POSTGRES_USER", "POSTGRES_PASSWORD"):
+        if name not in env:
+            raise KeyError(f"{name} is not set")
     return {
         "url": f"jdbc:postgresql://{host}:{port}/{env.get('POSTGRES_GOLD_DB', 'gold')}",
         "dbtable": dbtable,
-        "user": env.get("POSTGRES_USER", "airflow"),
+        "user": env["POSTGRES_USER"],
         "password": env["POSTGRES_PASSWORD"],
         "driver": "org.postgresql.Driver",
     }

@@ -15,6 +15,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(target)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path of a file or directory as its file system names it, without scheme, decoded."""
+    system, target = _open(spark, path)
+    return system.makeQualified(target).toUri().getPath().rstrip("/")
+
+
 def size_bytes(spark: SparkSession, path: str) -> int:
     """Bytes under a path, by listing only."""
     system, target = _open(spark, path)
@@ -27,6 +33,28 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(status.getPath().toString() for status in system.globStatus(target) or [])
 
 
+def files_below(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(path below the given one, bytes, modification time) of the data files there, by one recursive listing.
+
+    Names that start with a dot or an underscore are no data, but for `name=value` directories.
+    """
+    system, target = _open(spark, path)
+    if not system.exists(target):
+        return []
+    root = system.getFileStatus(target).getPath()
+    if system.getFileStatus(target).isFile():
+        status = system.getFileStatus(target)
+        return [(root.getName(), status.getLen(), status.getModificationTime())]
+    found, entries = [], system.listFiles(root, True)
+    above = root.toUri().getPath().rstrip("/") + "/"
+    while entries.hasNext():
+        status = entries.next()
+        name = status.getPath().toUri().getPath()[len(above) :]
+        if not any(part.startswith(".") or (part.startswith("_") and "=" not in part) for part in name.split("/")):
+            found.append((name, status.getLen(), status.getModificationTime()))
+    return found
+
+
 def first_file(spark: SparkSession, directory: str) -> str | None:
     """Some file of a directory; looks at no more than one listing page."""
     system, target = _open(spark, directory)

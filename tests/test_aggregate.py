@@ -6,6 +6,7 @@ from decimal import ROUND_HALF_UP, Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from lamina.functions import exact
 from lamina.operators.aggregate import Metric, Summary, count, mean, rollup_for, summarize, summarize_rollup, total
 from lamina.plans import trips
 from lamina.plans.gold import build
@@ -103,7 +104,7 @@ def test_exact_means_round_half_up(spark):
     rows = [(i % 400, rng.choice([-1, 1]) * rng.randint(0, 5000) / 100) for i in range(3000)]
     rows += [(1000, 1.00), (1000, 1.01), (1001, -1.00), (1001, -1.01), (1002, None)]
     df = spark.createDataFrame(rows, "k int, x double").repartition(7)
-    spec = Summary("t", ("k",), (count("n"), mean("m", "x", 2), total("s", "x", 2), mean("d", "x")))
+    spec = Summary("t", ("k",), (count("n"), mean("m", "x", 100), total("s", "x", 100), mean("d", "x")))
     out = {r["k"]: r for r in summarize(df, spec).collect()}
     for key in {k for k, _ in rows if k != 1002}:
         values = [Decimal(str(x)) for k, x in rows if k == key]
@@ -117,14 +118,14 @@ def test_exact_means_round_half_up(spark):
 
 
 def spec_exact():
-    return Summary("t", ("k",), (count("n"), mean("m", "x", 2)))
+    return Summary("t", ("k",), (count("n"), mean("m", "x", 100)))
 
 
 def test_wild_values_are_added_as_doubles(spark):
     inf, nan = float("inf"), float("nan")
     rows = [(1, 2.5), (1, 1e20), (2, 1e20), (3, 1.0), (3, nan), (4, -inf), (4, 1.0), (5, 1e8), (5, 0.01), (6, 1e8 + 1.25)]
     df = spark.createDataFrame(rows, "k int, x double").repartition(3)
-    spec = Summary("t", ("k",), (mean("m", "x", 2), total("s", "x", 2)))
+    spec = Summary("t", ("k",), (mean("m", "x", 100), total("s", "x", 100)))
     for out in (summarize(df, spec), summarize_rollup(rollup_for(df, [spec]), spec)):
         found = {r["k"]: (r["m"], r["s"]) for r in out.collect()}
         assert found[1] == (5e19, 1e20) and found[2] == (1e20, 1e20) and found[4] == (-inf, -inf)
@@ -132,12 +133,32 @@ def test_wild_values_are_added_as_doubles(spark):
         assert found[5] == (50000000.01, 100000000.01) and found[6] == (100000001.25, 100000001.25)
 
 
+def test_finer_values_are_added_as_they_are(spark):
+    df = spark.range(200_000).select(F.lit(1).alias("k"), F.lit(0.00004).alias("x"), F.lit(1.23456).alias("y"))
+    spec = Summary("t", ("k",), (total("s", "x", 10_000), mean("m", "y", 10_000, places=5)))
+    for out in (summarize(df, spec), summarize_rollup(rollup_for(df, [spec]), spec)):
+        assert tuple(out.first())[1:] == (8.0, 1.23456)
+
+
+def test_sums_of_units_do_not_overflow(spark):
+    # As many units as two billion rows at the largest amount have.
+    parts = spark.range(2_000).select(F.lit(1).alias("k"), (F.lit(10**16).cast("decimal(18,0)")).alias("u"))
+    found = parts.agg(exact.total(F.sum("u"), F.sum(F.lit(None).cast("double")), 10_000, 2)).first()[0]
+    assert found == 2e15
+
+
+def test_durations_are_summed_in_seconds(silver):
+    third = (DAY, 8, 7, "z", "Manhattan", 1.0, 1 / 60, 5.0, 0.0, 0.0, 5.0, 1)
+    found = both(silver(*[third] * 598), "gold_borough_fares")
+    assert found[0]["avg_duration_minutes"] == float((Decimal(30) + Decimal(598) / 60) / 600 * 100 // 1 / 100)
+
+
 def test_bad_specs(spark):
     df = spark.createDataFrame([(1, 1.0)], "k int, x double")
     with pytest.raises(ValueError):
         summarize(df, Summary("a", ("k",), (Metric("m", "median", "x"),)))
     with pytest.raises(ValueError):
-        rollup_for(df, [Summary("a", ("k",), (mean("m", "x", 2), mean("d", "x")))])
+        rollup_for(df, [Summary("a", ("k",), (mean("m", "x", 100), mean("d", "x")))])
 
 
 def test_plans_are_hash_aggregates_with_map_side_partials(silver, spark, tmp_path):

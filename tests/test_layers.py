@@ -1,11 +1,13 @@
 import datetime as dt
 import json
+import os
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
 from lamina.operators.quality import DataQualityError
-from lamina.plans import bronze, check, count_rows, gold, pipeline, silver, trips
+from lamina.plans import bronze, check, count_rows, gold, pipeline, silver, suites, trips
 from lamina.sources import files, sinks, storage
 from tests.conftest import GOOD_TRIP, trip
 
@@ -120,15 +122,56 @@ def test_a_rerun_drops_partitions_the_new_data_lacks(layers):
     assert [(m, f) for m, _, f in layers.silver_rows()] == [(4, 15.0), (5, 8.0)]
 
 
-def test_a_full_run_dedups_across_months_and_drops_leftovers(layers):
+TWO_MONTHS = {
+    4: [on(2, 4), on(30, 4), on(30, 4, fare_amount=4.0), on(1, 5, hour=3)],
+    5: [on(30, 4), on(1, 5, hour=3), on(1, 5, hour=9), on(30, 4, fare_amount=5.0), on(31, 5)],
+    6: [on(31, 5), on(1, 6)],
+}
+
+
+@pytest.mark.parametrize("order", [(), (4, 5, 6), (6, 5, 4), (5, 4, 6), (4, 6, 5), (5, 5, 4, 6, 4)])
+def test_one_silver_however_the_months_are_run(layers, spark, order):
+    for month, rows in TWO_MONTHS.items():
+        layers.ingest(month, *rows)
+    for month in order:
+        layers.transform(2026, month)
+    if not order:
+        layers.transform()
+    found = [(m, t.month, t.day, t.hour, f) for m, t, f in layers.silver_rows()]
+    assert sorted(found) == sorted(
+        [(4, 4, 2, 8, 15.0), (4, 4, 30, 8, 15.0), (4, 4, 30, 8, 4.0), (4, 5, 1, 3, 15.0)]
+        + [(5, 5, 1, 9, 15.0), (5, 4, 30, 8, 5.0), (5, 5, 31, 8, 15.0), (6, 6, 1, 8, 15.0)]
+    )
+    assert suites.passed(suites.overlap_suite(), silver.around(spark, layers.silver, 2026, 5)).success
+
+
+@pytest.mark.parametrize("again", [[on(2, 4)], TWO_MONTHS[4] + [on(30, 4, fare_amount=5.0)]])
+def test_a_month_that_lands_late_or_anew_changes_the_shared_days_of_the_next(layers, again):
+    layers.ingest(5, *TWO_MONTHS[5])
+    layers.transform(2026, 5)
+    assert [m for m, _, _ in layers.silver_rows()] == [5] * 5
+    layers.ingest(4, *TWO_MONTHS[4])
+    layers.transform(2026, 4)
+    assert [m for m, _, _ in layers.silver_rows()] == [4] * 4 + [5] * 3
+    layers.ingest(4, *again)
+    layers.transform(2026, 4)
+    stepwise = layers.silver_rows()
+    layers.transform()
+    assert layers.silver_rows() == stepwise and len(stepwise) in (6, 7)
+
+
+def test_the_gate_sees_a_key_that_two_months_hold(layers, spark):
     layers.ingest(4, on(30, 4))
-    layers.ingest(5, on(30, 4), on(1))
     layers.transform(2026, 4)
-    layers.transform(2026, 5)
-    assert len(layers.silver_rows()) == 3
-    meta = layers.transform()
-    assert meta["silver_rows"] == 2 and meta["bronze_rows"] == 3
-    assert [m for m, _, _ in layers.silver_rows()] == [4, 5]
+    copy = spark.read.parquet(layers.silver).withColumn("_ingest_month", F.lit(5))
+    copy.write.mode("append").partitionBy(*trips.SILVER_PARTITIONS).parquet(layers.silver)
+    with pytest.raises(DataQualityError):
+        suites.passed(suites.overlap_suite(), silver.around(spark, layers.silver, 2026, 5))
+
+
+def test_a_month_needs_its_year(layers):
+    with pytest.raises(ValueError, match="year"):
+        layers.transform(None, 5)
 
 
 def test_nothing_left_after_cleaning_raises_and_keeps_silver(layers):
@@ -169,17 +212,54 @@ def test_strict_mode_fails_on_a_bad_value(layers):
 def test_layout_audit_and_strays(layers, spark, caplog):
     layers.ingest(5, on(1), on(2))
     assert files.stray_entries(spark, layers.bronze) == []
-    spark.createDataFrame([tuple(trip()[k] for k in RAW)], RAW_DDL.replace("passenger_count double", "passenger_count int")).write.parquet(
+    spark.createDataFrame([tuple(trip()[k] for k in RAW)], RAW_DDL.replace("passenger_count double", "passenger_count int")).coalesce(1).write.parquet(
         f"{layers.bronze}/year=2026"
     )
     assert [s.rsplit("/", 1)[-1] for s in files.stray_entries(spark, layers.bronze)] == ["year=2026"]
     found = {r["in_layout"]: (r["files"], r["rows"]) for r in files.layout_audit(spark, layers.bronze).collect()}
     assert found == {True: (1, 2), False: (1, 1)}
+    month = f"{layers.bronze}/_ingest_year=2026/_ingest_month=5"
+    spark.createDataFrame([(1,)], "a int").coalesce(1).write.parquet(f"{layers.bronze}/old/bronze/_ingest_year=2026/_ingest_month=4")
+    for place in (f"{month}/notes.txt", f"{layers.bronze}/readme.txt", f"{month}/.hidden"):
+        open(place, "w").close()
+    spark.createDataFrame([], "a int").coalesce(1).write.parquet(f"{layers.bronze}/none")
+    found = {r["in_layout"]: (r["files"], r["rows"]) for r in files.layout_audit(spark, layers.bronze).collect()}
+    strays = len([f for d in ("old/bronze/_ingest_year=2026/_ingest_month=4", "none") for f in os.listdir(f"{layers.bronze}/{d}") if f.endswith(".parquet")])
+    assert strays == 2 and found == {True: (2, 2), False: (4, 2)}
     with caplog.at_level("WARNING"):
         layers.ingest(5, on(1))
     assert "outside the partition layout" in caplog.text
 
 
+def test_audit_of_a_root_with_odd_characters(layers, spark):
+    layers.ingest(5, on(1), on(2))
+    odd = layers.root / "a b+c%20é"
+    shutil.copytree(layers.bronze, odd)
+    assert [tuple(r) for r in files.layout_audit(spark, str(odd)).collect()] == [(True, 1, 2)]
+
+
+def test_files_with_different_columns_land_whole(layers, spark):
+    raw = layers.root / "raw_dir"
+    columns = [c for c in RAW_DDL.split(", ")]
+    for name, ddl in (("a", ", ".join(columns)), ("b", ", ".join([*columns, "cbd_fee double"]))):
+        row = tuple({**RAW, "passenger_count": 2.0}[k] for k in RAW) + ((1.5,) if name == "b" else ())
+        spark.createDataFrame([row], ddl).coalesce(1).write.mode("append").parquet(str(raw))
+    meta = bronze.ingest(spark, 2026, 5, str(raw), layers.bronze)
+    landed = spark.read.parquet(layers.bronze)
+    assert sorted(str(r.cbd_fee) for r in landed.collect()) == ["1.5", "None"]
+    assert (meta["row_count"], meta["column_count"]) == (2, 19)
+    spark.createDataFrame([("x",)], "cbd_fee string").write.mode("append").parquet(str(raw))
+    with pytest.raises(Exception, match="cbd_fee"):
+        bronze.ingest(spark, 2026, 5, str(raw), layers.bronze)
+
+
+def test_profile_sees_empty_files(layers, spark):
+    path = layers.raw("p", on(1))
+    spark.createDataFrame([], RAW_DDL).coalesce(1).write.mode("append").parquet(path)
+    row = files.profile(spark, path).first()
+    assert row["row_count"] == 1 and row["file_count"] == len([f for f in os.listdir(path) if f.endswith(".parquet")]) == 2
+
+
 def test_profile_and_counts(layers, spark):
     path = layers.raw("p", on(1), on(2))
     row = files.profile(spark, path).first()
@@ -205,8 +285,6 @@ def test_spread_by(spark):
     df = spark.range(100).withColumn("d", F.col("id") % 20)
     plan = sinks.spread_by(df, ["d"])._jdf.queryExecution().executedPlan().toString()
     assert "REBALANCE_PARTITIONS_BY_COL" in plan
-    fixed = sinks.spread_by(df, ["d"], partitions=6)
-    assert fixed.select("d", F.spark_partition_id().alias("p")).distinct().count() == 20
 
 
 def test_a_hot_output_partition_is_split(spark, tmp_path):
@@ -247,7 +325,12 @@ def test_gold_tables(layers, spark):
 def test_database_write_is_asked_for_with_the_right_options(layers, spark, monkeypatch):
     layers.ingest(5, on(1))
     layers.transform(2026, 5)
+    monkeypatch.delenv("POSTGRES_PASSWORD", raising=False)
+    with pytest.raises(KeyError):
+        gold.aggregate(spark, layers.silver, layers.gold)
+    assert not storage.exists(spark, layers.gold)
     monkeypatch.setenv("POSTGRES_PASSWORD", "secret")
+    monkeypatch.setenv("POSTGRES_USER", "writer")
     calls = []
     monkeypatch.setattr(sinks, "write_jdbc", lambda df, options: calls.append((df.count(), options)))
     gold.aggregate(spark, layers.silver, layers.gold)
@@ -264,7 +347,7 @@ def test_jdbc_options():
         "password": "p",
         "driver": "org.postgresql.Driver",
     }
-    assert sinks.jdbc_options("t", {"POSTGRES_PASSWORD": "p"})["url"] == "jdbc:postgresql://postgres:5432/gold"
+    assert sinks.jdbc_options("t", {"POSTGRES_PASSWORD": "p", "POSTGRES_USER": "u"})["url"] == "jdbc:postgresql://postgres:5432/gold"
     with pytest.raises(KeyError):
         sinks.jdbc_options("t", {})
 
@@ -311,7 +394,7 @@ def test_whole_chain_and_its_commands(layers, spark, monkeypatch, capsys, caplog
     check.main(["--layer", "bronze", "--path", layers.bronze])
     check.main(["--layer", "silver", "--path", layers.silver, "--bronze-row-count", "62", "--year", "2026", "--month", "5"])
     check.main(["--layer", "gold", "--path", f"{layers.gold}/gold_borough_fares", "--table-name", "gold_borough_fares"])
-    assert "[PASS] expect_bronze_to_silver_retention_within_bounds" in capsys.readouterr().out
+    assert "ok  expect_bronze_to_silver_retention_within_bounds: kept 60 of 62 bronze rows" in capsys.readouterr().out
     with pytest.raises(SystemExit) as stopped:
         check.main(["--layer", "silver", "--path", layers.silver, "--bronze-row-count", "1000"])
     assert stopped.value.code == 1
@@ -330,14 +413,58 @@ def test_a_failed_gate_stops_the_chain(layers, spark):
     assert result["gold"]["gold_table_rows"]["gold_borough_fares"] == 1
 
 
-def test_size_shuffle_keeps_a_given_width(spark, monkeypatch):
-    from lamina.session import SHUFFLE_PARTITIONS, size_shuffle
+def test_a_second_month_reads_only_its_own_silver(layers, spark):
+    layers.ingest(4, *TWO_MONTHS[4])
+    layers.transform(2026, 4)
+    gold.aggregate(spark, layers.silver, layers.gold, write_database=False)
+    rolled = gold.rollup_dir(layers.gold)
+    assert gold.stale_silver(spark, layers.silver, rolled) is None
+    layers.ingest(5, *TWO_MONTHS[5])
+    layers.transform(2026, 5)
+    stale = gold.stale_silver(spark, layers.silver, rolled)
+    assert {r[0] for r in stale.select("_ingest_month").distinct().collect()} == {5}
+    assert "_ingest_month=4" not in "".join(stale.inputFiles()) and "_ingest_month=5" in "".join(stale.inputFiles())
+    meta = gold.aggregate(spark, layers.silver, layers.gold, write_database=False)
+    silver_df = spark.read.parquet(layers.silver)
+    assert meta["silver_rows"] == silver_df.count() == 7
+    for table in trips.GOLD:
+        written = spark.read.parquet(f"{layers.gold}/{table.name}").collect()
+        assert sorted(map(str, written)) == sorted(map(str, gold.build(silver_df, table.name).collect()))
+    layers.ingest(5, on(31, 5))
+    layers.transform(2026, 5)
+    assert gold.aggregate(spark, layers.silver, layers.gold, write_database=False)["silver_rows"] == 5
+
+
+def test_run_metrics_is_a_table(spark):
+    results = {"bronze": {"row_count": 3, "source_file": "x"}, "gold": {"gold_table_rows": {"t": 2}, "none": None}}
+    rows = sorted(tuple(r) for r in pipeline.run_metrics(spark, results).collect())
+    assert rows == [
+        ("bronze", "row_count", 3.0, None), ("bronze", "source_file", None, "x"), ("gold", "gold_table_rows.t", 2.0, None),
+        ("gold", "none", None, None),
+    ]
 
-    assert size_shuffle(spark, 10**15) == 4
-    monkeypatch.setattr("lamina.session._given", lambda *_: False)
+
+def test_the_shuffle_width_follows_each_stage(layers, spark, monkeypatch):
+    from lamina import session
+
+    with session.shuffle_sized_for(spark, 10**15) as width:
+        assert width == 4  # the tests' session was given one
+    monkeypatch.setattr(session, "_given", lambda *_: False)
+    key, before, seen = session.SHUFFLE_PARTITIONS, spark.conf.get(session.SHUFFLE_PARTITIONS), []
+    layers.ingest(5, on(1))
+    written = sinks.replace_partitions
+    monkeypatch.setattr(sinks, "replace_partitions", lambda *a, **k: (seen.append(int(spark.conf.get(key))), written(*a, **k))[1])
     try:
-        assert size_shuffle(spark, 1000) == 8
-        assert size_shuffle(spark, 10**12) == 7451
-        assert size_shuffle(spark, 10**14) == 100_000
+        spark.conf.set(key, "7")
+        layers.transform(2026, 5)  # set on the session: kept
+        spark.conf.set(key, session.DEFAULT_SHUFFLE_PARTITIONS)
+        monkeypatch.setattr(files, "layer_bytes", lambda *_: 10**10)
+        layers.transform(2026, 5)
+        monkeypatch.setattr(files, "layer_bytes", lambda *_: 1000)
+        gold.aggregate(spark, layers.silver, layers.gold, write_database=False)
+        assert spark.conf.get(key) == session.DEFAULT_SHUFFLE_PARTITIONS
+        with session.shuffle_sized_for(spark, 10**14) as width:
+            assert width == 745_059
     finally:
-        spark.conf.set(SHUFFLE_PARTITIONS, "4")
+        spark.conf.set(key, before)
+    assert seen == [7, 75, spark.sparkContext.defaultParallelism]
