@@ -25,7 +25,7 @@ def test_five_rows_to_one(trips_df):
     )
     kept = trips.clean_trips(df).collect()
     assert len(kept) == 1
-    assert kept[0]["fare_amount"] == 15.0 and kept[0]["trip_distance"] == 3.5
+    assert kept[0]["fare_amount"] == 11.6 and kept[0]["trip_distance"] == 2.4
     row = retention(df, trips.rules(df), trips.TRIP_KEY).first()
     assert row.asDict() == {"rows_in": 5, "rows_out": 1, "rows_dropped": 4, "retention_pct": 20.0}
 
@@ -46,10 +46,10 @@ def test_five_rows_to_one(trips_df):
         ({"fare_amount": float("nan")}, 0),
         ({"trip_distance": 200.0}, 1),
         ({"trip_distance": 200.01}, 0),
-        ({"tpep_dropoff_datetime": AT(2026, 5, 10, 8, 0)}, 0),
-        ({"tpep_dropoff_datetime": AT(2026, 5, 11, 8, 0)}, 1),
-        ({"tpep_dropoff_datetime": AT(2026, 5, 11, 8, 0, 0, 900000)}, 1),
-        ({"tpep_dropoff_datetime": AT(2026, 5, 11, 8, 0, 1)}, 0),
+        ({"tpep_dropoff_datetime": AT(2026, 5, 14, 19, 30)}, 0),
+        ({"tpep_dropoff_datetime": AT(2026, 5, 15, 19, 30)}, 1),
+        ({"tpep_dropoff_datetime": AT(2026, 5, 15, 19, 30, 0, 900000)}, 1),
+        ({"tpep_dropoff_datetime": AT(2026, 5, 15, 19, 30, 1)}, 0),
     ],
 )
 def test_limits(trips_df, changes, kept):

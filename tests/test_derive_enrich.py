@@ -9,12 +9,12 @@ from lamina.sources.files import read_csv_table
 
 def test_derived_values(trips_df):
     row = trips.add_derived(trips.clean_trips(trips_df({}))).first()
-    assert row["trip_duration_minutes"] == pytest.approx(20.0)
-    assert row["trip_speed_mph"] == pytest.approx(10.5)
-    assert row["pickup_date"] == dt.date(2026, 5, 10)
-    assert row["pickup_hour"] == 8
-    assert row["day_of_week"] == "Sunday" and row["is_weekend"] is True
-    assert row["tip_percentage"] == pytest.approx(20.0)
+    assert row["trip_duration_minutes"] == pytest.approx(12.0)
+    assert row["trip_speed_mph"] == pytest.approx(12.0)
+    assert row["pickup_date"] == dt.date(2026, 5, 14)
+    assert row["pickup_hour"] == 19
+    assert row["day_of_week"] == "Thursday" and row["is_weekend"] is False
+    assert row["tip_percentage"] == pytest.approx(25.0)
 
 
 def test_derived_types_and_names(trips_df):

@@ -109,7 +109,7 @@ def test_second_month_keeps_the_first_and_its_last_day(layers):
     for _ in range(2):
         assert layers.transform(2026, 5)["silver_rows"] == 2
     fares = [(m, f) for m, _, f in layers.silver_rows()]
-    assert sorted(fares) == [(4, 1.0), (4, 2.0), (4, 15.0), (5, 3.0), (5, 15.0)]
+    assert sorted(fares) == [(4, 1.0), (4, 2.0), (4, 11.6), (5, 3.0), (5, 11.6)]
 
 
 def test_a_rerun_drops_partitions_the_new_data_lacks(layers):
@@ -119,7 +119,7 @@ def test_a_rerun_drops_partitions_the_new_data_lacks(layers):
     assert len(layers.silver_rows()) == 3
     layers.ingest(5, on(1, fare_amount=8.0))
     assert layers.transform(2026, 5)["silver_rows"] == 1
-    assert [(m, f) for m, _, f in layers.silver_rows()] == [(4, 15.0), (5, 8.0)]
+    assert [(m, f) for m, _, f in layers.silver_rows()] == [(4, 11.6), (5, 8.0)]
 
 
 TWO_MONTHS = {
@@ -139,8 +139,8 @@ def test_one_silver_however_the_months_are_run(layers, spark, order):
         layers.transform()
     found = [(m, t.month, t.day, t.hour, f) for m, t, f in layers.silver_rows()]
     assert sorted(found) == sorted(
-        [(4, 4, 2, 8, 15.0), (4, 4, 30, 8, 15.0), (4, 4, 30, 8, 4.0), (4, 5, 1, 3, 15.0)]
-        + [(5, 5, 1, 9, 15.0), (5, 4, 30, 8, 5.0), (5, 5, 31, 8, 15.0), (6, 6, 1, 8, 15.0)]
+        [(4, 4, 2, 8, 11.6), (4, 4, 30, 8, 11.6), (4, 4, 30, 8, 4.0), (4, 5, 1, 3, 11.6)]
+        + [(5, 5, 1, 9, 11.6), (5, 4, 30, 8, 5.0), (5, 5, 31, 8, 11.6), (6, 6, 1, 8, 11.6)]
     )
     assert suites.passed(suites.overlap_suite(), silver.around(spark, layers.silver, 2026, 5)).success
 
