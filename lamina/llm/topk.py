@@ -7,9 +7,9 @@ squared distance is |q|^2 + M^2 - 2 q.x, so that near means a high score.
 Pivots cut the space into cells. Candidates and queries go to the cell of their nearest pivot, and per
 cell a summary is kept: the largest distance of a query to the pivot, and the k smallest of candidates.
 By the triangle inequality these bound the k-th best distance of every query of a cell from above, and the
-distance of a query to a candidate from below; a candidate is replicated to the query cells which it can
-matter to, and no others. Cells are solved locally in numpy, with integer products, and the
-results of a query's tasks merged.
+distance of a query to a candidate from below. Near query cells form groups, and a candidate is replicated
+to the groups which it can matter to, and no others. Groups are solved locally in numpy, with integer
+products, and the results of a query's tasks merged.
 """
 
 from __future__ import annotations
@@ -119,26 +119,44 @@ def top_k(
     inner = np.array([r.far for r in closest])
     between = distances(centres, centres)
     slack = SLACK * (largest + 1) + 1e-6
-    limits = []
+    bounds = {}
     for cell, (_, radius) in asked.items():
         # A query may be its own candidate, so the bound is the distance of one more than k.
         reach = np.sort(radius + between[cell, held] + inner)
-        bound = reach[k] if len(reach) > k else np.inf
-        for other in range(len(centres)):
-            low, high = between[cell, other] - radius - bound - slack, between[cell, other] + radius + bound + slack
-            limits.append((other, cell, float(low), float(high)))
+        bound = radius + (reach[k] if len(reach) > k else np.inf) + slack
+        bounds[cell] = np.stack([between[cell] - bound, between[cell] + bound])
+
+    # Near query cells with few queries make one group, so that a candidate which several of them need is sent once.
+    group_of: dict[int, int] = {}
+    waiting, group, size = set(asked), -1, 0
+    while waiting:
+        if group < 0 or size >= queries_per_group:
+            here, group, size = min(waiting), group + 1, 0
+        cell = min(waiting, key=lambda c: (between[here, c], c))
+        waiting.remove(cell)
+        group_of[cell] = group
+        size += asked[cell][0]
+    limits = []
+    for g in range(group + 1):
+        low = np.min([bounds[c][0] for c in group_of if group_of[c] == g], axis=0)
+        high = np.max([bounds[c][1] for c in group_of if group_of[c] == g], axis=0)
+        limits += [(other, g, float(low[other]), float(high[other])) for other in range(len(centres))]
     # pivots x pivots rows at most.
-    allowed = F.broadcast(spark.createDataFrame(limits or [(0, 0, 0.0, 0.0)], "cell long, query_cell long, low double, high double"))
+    allowed = F.broadcast(spark.createDataFrame(limits or [(0, 0, 0.0, 0.0)], "cell long, grp long, low double, high double"))
     sent = candidates.join(allowed, "cell").where("far BETWEEN low AND high")
 
-    # Groups of bounded size: a query cell's candidates and its queries are each split over several tasks.
-    load = {r.query_cell: r.n for r in sent.groupBy("query_cell").agg(F.count("*").alias("n")).collect()}
-    parts = [(c, -(-load.get(c, 1) // candidates_per_group), -(-n // queries_per_group)) for c, (n, _) in asked.items()]
-    split = F.broadcast(spark.createDataFrame(parts or [(0, 1, 1)], "query_cell long, c_parts long, q_parts long"))
+    # Tasks of bounded size: a group's candidates and its queries are each split over several.
+    load = {r.grp: r.n for r in sent.groupBy("grp").agg(F.count("*").alias("n")).collect()}
+    wanted_of: dict[int, int] = {}
+    for cell, g in group_of.items():
+        wanted_of[g] = wanted_of.get(g, 0) + asked[cell][0]
+    parts = [(g, -(-load.get(g, 1) // candidates_per_group), -(-n // queries_per_group)) for g, n in wanted_of.items()]
+    split = F.broadcast(spark.createDataFrame(parts or [(0, 1, 1)], "grp long, c_parts long, q_parts long"))
+    groups = F.broadcast(spark.createDataFrame(list(group_of.items()) or [(0, 0)], "cell long, grp long"))
     c_part, q_part = F.pmod(F.xxhash64("id", "v"), "c_parts"), F.pmod(F.xxhash64("id"), "q_parts")
-    left = sent.join(split, "query_cell").select("query_cell", c_part.alias("c_part"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("q_parts") - 1)).alias("q_part"), "id", "v")
-    right = queries.withColumnRenamed("cell", "query_cell").join(split, "query_cell")
-    right = right.select("query_cell", F.explode(F.sequence(F.lit(0).cast("long"), F.col("c_parts") - 1)).alias("c_part"), q_part.alias("q_part"), F.col("id").alias("asked"), F.col("v").alias("w"))
+    left = sent.join(split, "grp").select("grp", c_part.alias("c_part"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("q_parts") - 1)).alias("q_part"), "id", "v")
+    right = queries.join(groups, "cell").join(split, "grp")
+    right = right.select("grp", F.explode(F.sequence(F.lit(0).cast("long"), F.col("c_parts") - 1)).alias("c_part"), q_part.alias("q_part"), F.col("id").alias("asked"), F.col("v").alias("w"))
 
     def solve(found: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
         if not len(found) or not len(wanted):
@@ -160,7 +178,7 @@ def top_k(
                 out.append(pd.DataFrame({"query_id": asked_id, "vec_id": ids[best], "score": score[best]}))
         return pd.concat(out)
 
-    keys = ["query_cell", "c_part", "q_part"]
+    keys = ["grp", "c_part", "q_part"]
     solved = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(solve, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = solved.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
