@@ -22,12 +22,13 @@ from pyspark.sql import types as T
 from lamina.llm.common import checkpointed, in_fold, with_text_columns
 
 BITS = 18
+PUNCTUATION = b".,;:!?\"'()[]|"
 # The bound of the sample that the model is fitted on, and of which a fifth is held out to calibrate.
 MAX_RATED = 20_000
-ROUNDS = 150
-PENALTY = 1e-3
+ROUNDS = 200
+PENALTY = 3e-3
 # Words in fewer rated documents have no weight.
-LEAST_DOCUMENTS = 5
+LEAST_DOCUMENTS = 10
 # Of held-out documents with a grade to keep, at most this share may fall below the cut.
 LOST = 0.01
 
@@ -51,9 +52,16 @@ def logistic(x: np.ndarray) -> np.ndarray:
 
 
 def features(text: str | None) -> np.ndarray:
-    """Hashed distinct words of a text, in their case and with their punctuation, which tell much of quality."""
+    """Hashed distinct words of a text without case and outer punctuation, and what shows its style.
+
+    The latter are the last two bytes of words that end in punctuation, and that (short) words are in capitals.
+    """
+    words = set((text or "").encode("utf-8", "replace").split())
+    plain = {w.lower().strip(PUNCTUATION) for w in words}
+    ends = {b"\x02" + w[-2:] for w in words if not w[-1:].isalnum()}
+    capitals = {b"\x01" + (w if len(w) < 3 else b"") for w in words if w.isupper()}
     mask = (1 << BITS) - 1
-    return np.unique(np.fromiter((crc32(w) & mask for w in set((text or "").encode("utf-8", "replace").split())), np.int64))
+    return np.unique(np.fromiter((crc32(w) & mask for w in plain | ends | capitals), np.int64))
 
 
 def fit(rows: list[np.ndarray], ratings: np.ndarray, rounds: int = ROUNDS, penalty: float = PENALTY) -> tuple[list, np.ndarray, np.ndarray]:
