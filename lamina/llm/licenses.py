@@ -16,6 +16,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -90,11 +91,16 @@ def own_licenses(files: DataFrame, least: float = LEAST_COSINE) -> DataFrame:
         words = template_words(text)
         norm = math.sqrt(sum((c * weights[w]) ** 2 for w, c in words.items()))
         terms += [(w, number, name, c * weights[w] / norm) for w, c in words.items()]
-    keyed = rf"(?i)(?<![a-z0-9])({'|'.join(key_words(weights, least))})(?![a-z0-9])"
-
-    some = files.where(F.lower("text").rlike(keyed))
-    lines = some.select("row", F.posexplode(F.split("text", "\n", -1)).alias("unit", "said"))
-    units = lines.union(some.select("row", F.lit(-1), "text")).where(F.lower("said").rlike(keyed))
+    keys = key_words(weights, least)
+    keyed = rf"(?<![a-z0-9])({'|'.join(keys)})(?![a-z0-9])"
+
+    # A plain search first, over all texts; then the units of those that may hold a key word, in the same pass.
+    said = F.lower("text")
+    some = files.where(reduce(lambda a, b: a | b, [F.contains(said, F.lit(k)) for k in keys]))
+    whole = F.struct(F.lit(-1).alias("unit"), F.col("text").alias("said"))
+    lines = F.transform(F.split("text", "\n", -1), lambda line, i: F.struct(i.alias("unit"), line.alias("said")))
+    units = some.select("row", F.inline(F.concat(F.array(whole), F.filter(lines, lambda x: F.lower(x["said"]).rlike(keyed)))))
+    units = units.where((F.col("unit") >= 0) | F.lower("said").rlike(keyed))
     each = units.select("row", "unit", F.explode(words_of(F.col("said"))).alias("word")).groupBy("row", "unit", "word").count()
     # Both tables are as large as the templates.
     rarity = F.broadcast(spark.createDataFrame(list(weights.items()), "word string, weight double"))
