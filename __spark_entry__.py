@@ -833,7 +833,7 @@ def corpus_queries() -> tuple[dict, dict]:
     """The queries and the SQL of the training-data operators and their pipeline, as far as they are installed."""
     found, sql = {}, {}
     try:
-        from lamina.llm import queries as corpus
+        import lamina.llm.queries as corpus
 
         found, sql = dict(corpus.QUERIES), dict(corpus.ORACLES)
         import corpus_pipeline
@@ -842,7 +842,7 @@ def corpus_queries() -> tuple[dict, dict]:
         if corpus_pipeline.ORACLE_SQL is not None:
             sql["pipeline"] = corpus_pipeline.ORACLE_SQL
     except ModuleNotFoundError as missing:
-        if missing.name not in ("lamina.llm", "corpus_pipeline"):
+        if missing.name not in ("lamina.llm", "lamina.llm.queries", "corpus_pipeline"):
             raise
     return found, sql
 

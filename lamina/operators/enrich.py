@@ -39,12 +39,15 @@ def enrich(
     needed = sorted({c for role in roles for c in role.columns})
     dimension = dimension.select(key, *needed)
     size = _measure(dimension, key)
-    small = size <= broadcast_limit_bytes
+    side = dimension.filter(F.col(key).isNotNull()).select(*[F.col(c).alias(f"_looked_up_{c}") for c in (key, *needed)])
+    if size <= broadcast_limit_bytes:
+        side = F.broadcast(side)
     for role in roles:
-        side = dimension.filter(F.col(key).isNotNull()).select(
-            F.col(key).alias(role.key), *[F.col(c).alias(name) for c, name in role.columns.items()]
-        )
-        df = df.join(F.broadcast(side) if small else side, on=role.key, how="left")
+        # The same side for every role, so that one broadcast serves them all.
+        names = [role.key, *(c for c in df.columns if c != role.key and c not in role.columns.values())]
+        kept = [F.col(f"`{c}`") for c in names]
+        found = [F.col(f"_looked_up_{c}").alias(name) for c, name in role.columns.items()]
+        df = df.join(side, F.col(role.key) == F.col(f"_looked_up_{key}"), "left").select(*kept, *found)
     return df
 
 

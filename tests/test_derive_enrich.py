@@ -102,3 +102,11 @@ def test_only_a_small_dimension_is_broadcast(spark, zones, tmp_path):
         assert sorted(map(str, large.collect())) == sorted(map(str, small.collect()))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_two_roles_share_one_broadcast(trips_df, spark, tmp_path):
+    spark.createDataFrame([(100, "a", "b"), (200, "c", "d")], "LocationID int, Borough string, Zone string").write.parquet(str(tmp_path / "z"))
+    out = trips.add_zones(trips_df({}, {}), spark.read.parquet(str(tmp_path / "z")))
+    plan = out._jdf.queryExecution().executedPlan()
+    out.collect()
+    assert "ReusedExchange" in plan.toString() and plan.toString().count("BroadcastHashJoin") >= 2
