@@ -23,7 +23,7 @@ def shared_folder(spark: SparkSession) -> str:
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = context.getConf().get("spark.checkpoint.dir")
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder:
             if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
                 raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
