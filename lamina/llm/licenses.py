@@ -6,9 +6,8 @@ of their own; every other word of a unit lengthens its vector as an unseen word
 license of its best unit from `LEAST_COSINE` on; a file without one takes that of the license file in the
 nearest directory above it.
 
-Only DataFrame functions are used. A unit that lacks all key words cannot reach the cosine (by the
-Cauchy-Schwarz inequality, the rest of any template is too short), so only units with one are taken apart;
-the key words follow from the weights, and nothing is lost.
+Only DataFrame functions are used. A text cannot reach the cosine if what it shares with each template is too
+short a part of it (by the Cauchy-Schwarz inequality), so only the others are taken apart, and nothing is lost.
 """
 
 from __future__ import annotations
@@ -58,49 +57,47 @@ def template_words(text: str) -> Counter:
     return Counter(re.findall(WORD, text.lower()))
 
 
-def key_words(weights: dict[str, float], least: float) -> list[str]:
-    """Words without any of which no unit reaches the cosine `least` with any template: the rarest, as few as do."""
-    keys: set[str] = set()
-    for _, text in TEMPLATES:
-        parts = {w: (n * weights[w]) ** 2 for w, n in template_words(text).items()}
-        whole = sum(parts.values())
-        for word in sorted(parts, key=lambda w: (-weights[w], w)):
-            if sum(v for w, v in parts.items() if w not in keys) < least**2 * whole:
-                break
-            keys.add(word)
-    return sorted(keys)
+def present(text: Column) -> Column:
+    """The distinct words of a text that a template has."""
+    vocabulary = sorted({w for _, said in TEMPLATES for w in template_words(said)})
+    return F.array_intersect(words_of(F.coalesce(text, F.lit(""))), F.array(*[F.lit(w) for w in vocabulary]))
 
 
-def own_licenses(files: DataFrame, least: float = LEAST_COSINE) -> DataFrame:
-    """Files (row, text) -> (row, license, score, unit) of those whose best unit reaches `least`.
-
-    unit is the line's number from 0, or -1 for the whole text. Ties go to the license that comes first in the
-    alphabet, then to the first unit.
-    """
-    spark = files.sparkSession
-    vocabulary = sorted({w for _, text in TEMPLATES for w in template_words(text)})
-    listed = F.array(*[F.lit(w) for w in vocabulary])
-    # How many texts hold each word of the templates: as many rows as these have words, and one for all texts.
-    held = files.select(F.explode(F.concat(F.array(F.lit("")), F.array_intersect(words_of(F.coalesce("text", F.lit(""))), listed))).alias("word"))
+def word_weights(files: DataFrame) -> tuple[dict[str, float], float]:
+    """Weight of each word of the templates by its rarity among all texts, and that of an unseen word."""
+    # As many rows as the templates have words, and one for all texts.
+    held = files.select(F.explode(F.concat(F.array(F.lit("")), present(F.col("text")))).alias("word"))
     counts = {r.word: r.n for r in held.groupBy("word").agg(F.count("*").alias("n")).collect()}
     n = counts.get("", 0)
-    weights = {w: math.log((1 + n) / (1 + counts.get(w, 0))) + 1 for w in vocabulary}
-    unseen = math.log(1 + n) + 1
+    words = {w for _, said in TEMPLATES for w in template_words(said)}
+    return {w: math.log((1 + n) / (1 + counts.get(w, 0))) + 1 for w in sorted(words)}, math.log(1 + n) + 1
+
+
+def may_reach(words: Column, weights: dict[str, float], least: float) -> Column:
+    """Whether a unit with these words of templates can reach the cosine `least` with one of them.
+
+    The product is at most the unit's length times that of the part of the template which it shares.
+    """
+    found = F.lit(False)
+    for _, said in TEMPLATES:
+        parts = {w: (n * weights[w]) ** 2 for w, n in template_words(said).items()}
+        shared = reduce(lambda a, b: a + b, [F.when(F.array_contains(words, w), v).otherwise(0.0) for w, v in parts.items()])
+        # Scores are rounded to six places.
+        found |= shared >= F.lit((least - 1e-6) ** 2 * sum(parts.values()))
+    return found
+
+
+def best_licenses(units: DataFrame, weights: dict[str, float], unseen: float, least: float) -> DataFrame:
+    """Units (row, unit, said) -> (row, license, score, unit) of the rows whose best unit reaches `least`.
+
+    Ties go to the license that comes first in the alphabet, then to the first unit.
+    """
+    spark = units.sparkSession
     terms = []
-    for number, (name, text) in enumerate(TEMPLATES):
-        words = template_words(text)
+    for number, (name, said) in enumerate(TEMPLATES):
+        words = template_words(said)
         norm = math.sqrt(sum((c * weights[w]) ** 2 for w, c in words.items()))
         terms += [(w, number, name, c * weights[w] / norm) for w, c in words.items()]
-    keys = key_words(weights, least)
-    keyed = rf"(?<![a-z0-9])({'|'.join(keys)})(?![a-z0-9])"
-
-    # A plain search first, over all texts; then the units of those that may hold a key word, in the same pass.
-    said = F.lower("text")
-    some = files.where(reduce(lambda a, b: a | b, [F.contains(said, F.lit(k)) for k in keys]))
-    whole = F.struct(F.lit(-1).alias("unit"), F.col("text").alias("said"))
-    lines = F.transform(F.split("text", "\n", -1), lambda line, i: F.struct(i.alias("unit"), line.alias("said")))
-    units = some.select("row", F.inline(F.concat(F.array(whole), F.filter(lines, lambda x: F.lower(x["said"]).rlike(keyed)))))
-    units = units.where((F.col("unit") >= 0) | F.lower("said").rlike(keyed))
     each = units.select("row", "unit", F.explode(words_of(F.col("said"))).alias("word")).groupBy("row", "unit", "word").count()
     # Both tables are as large as the templates.
     rarity = F.broadcast(spark.createDataFrame(list(weights.items()), "word string, weight double"))
@@ -142,8 +139,15 @@ def scan(files: DataFrame, path: Column, doc_id: str = "doc_id", text: str = "te
     rows = files.select(
         F.monotonically_increasing_id().alias("row"), F.col(f"`{doc_id}`").alias("id"), path.cast("string").alias("path"), F.col(f"`{text}`").cast("string").alias("text")
     )
-    known = checkpointed(rows.select("row", "id", "path", directory(F.col("path")).alias("dir")))
-    own = checkpointed(own_licenses(rows, least))
+    weights, unseen = word_weights(rows)
+    # One pass gives every row its number and, to the few texts that can state a license, their units.
+    whole = F.struct(F.lit(-1).alias("unit"), F.col("text").alias("said"))
+    lines = F.transform(F.split("text", "\n", -1), lambda line, i: F.struct(i.alias("unit"), line.alias("said")))
+    units = F.when(may_reach(F.col("words"), weights, least), F.concat(F.array(whole), lines))
+    marked = rows.select("row", "id", "path", directory(F.col("path")).alias("dir"), "text", present(F.col("text")).alias("words"))
+    marked = checkpointed(marked.select("row", "id", "path", "dir", units.alias("units")))
+    known = marked.drop("units")
+    own = checkpointed(best_licenses(marked.select("row", F.inline("units")), weights, unseen, least))
     named = F.regexp_extract("path", "[^/]*$", 0).rlike(LICENSE_FILE)
     owners = known.where(named).join(own, "row").groupBy("dir").agg(F.min(F.struct((-F.col("score")).alias("down"), "license")).alias("x"))
     owners = owners.select(F.col("dir").alias("from_dir"), "x.license")
