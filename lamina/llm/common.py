@@ -38,6 +38,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Deletes an intermediate table that nothing reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def in_fold(doc_id: str | Column, folds: int, fold: int) -> Column:
     """Whether crc32 of the id as text falls into a fold; never, for a null id."""
     column = F.col(f"`{doc_id}`") if isinstance(doc_id, str) else doc_id

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm import decontaminate, langid, licenses, line_dedup, mixing, ordinal, pii, pst, simhash, topk
+from lamina.llm import decontaminate, langid, lexical, licenses, line_dedup, minhash, mixing, ordinal, pii, pst, simhash, spelling, topk
 from lamina.llm.common import checkpointed, in_fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -269,3 +269,97 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     profiles = langid.train(docs, ~held_out)
     found = langid.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), profiles)
     return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+# crc32 of the bytes of '<doc_id>:<run>', bit by bit; words at distance 1 meet in what is left of them without one
+# code point, at the same place (one replaced) or as the other word itself (one more or less).
+SPELLING_SQL = r"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, run, count(*) AS c FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{C0}-\x{FF}]+')) AS run
+    FROM documents
+  ) WHERE length(run) >= 6 GROUP BY ALL
+), steps AS (
+  SELECT i AS byte, list_reduce(list_concat([i], range(8)), lambda c, b: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS step FROM range(256) r(i)
+), crc AS (SELECT list(step ORDER BY byte) AS steps FROM steps),
+checked AS (
+  SELECT run, c, xor(4294967295, list_reduce(list_concat([4294967295], list_transform(range(length(hex(encode(doc_id || ':' || run))) // 2),
+      lambda i: ('0x' || substr(hex(encode(doc_id || ':' || run)), 2 * i + 1, 2))::BIGINT)),
+    lambda s, b: xor(s >> 8, steps[xor(s, b) % 256 + 1]))) AS h
+  FROM runs, crc
+), words AS (
+  SELECT word, sum(c)::BIGINT AS n FROM (
+    SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, c FROM checked
+  ) WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5
+), less AS (
+  SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)
+), shorter AS (SELECT DISTINCT a.word AS long, b.word AS short, a.n AS long_n, b.n AS short_n FROM less a JOIN words b ON a.rest = b.word),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION ALL SELECT long, short, short_n FROM shorter UNION ALL SELECT short, long, long_n FROM shorter
+), told AS (
+  SELECT word, n, (SELECT count(*) FROM near WHERE near.word = words.word) AS n_near,
+    (SELECT first(other ORDER BY other_n DESC, encode(other)) FROM near WHERE near.word = words.word) AS other,
+    (SELECT max(other_n) FROM near WHERE near.word = words.word) AS other_n
+  FROM words
+), formed AS (
+  SELECT word, n, n_near, CASE WHEN other_n >= 5 * n THEN other END AS form, CASE WHEN other_n >= 5 * n THEN other_n END AS form_n FROM told
+), chains AS (
+  SELECT word, word AS at FROM formed UNION ALL SELECT chains.word, f.form FROM chains JOIN formed f ON f.word = chains.at WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.n, f.n_near, f.form, f.form_n, c.at AS root
+FROM formed f JOIN chains c USING (word) JOIN formed e ON e.word = c.at WHERE e.form IS NULL
+"""
+
+
+@query("op11_spelling_variants", SPELLING_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spelling.group_variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("word", "n", "n_near", "form", "form_n", "root")
+
+
+LEXICAL_SQL = r"""
+WITH said AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents
+), counts AS (SELECT doc_id, term, count(*) AS tf FROM said GROUP BY ALL),
+lengths AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM counts GROUP BY doc_id),
+totals AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM lengths),
+weights AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM counts, totals GROUP BY term, n_docs),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), scored AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM asked JOIN counts USING (term) JOIN weights USING (term) JOIN lengths USING (doc_id), totals GROUP BY ALL
+)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 10
+"""
+
+
+@query("op12_lexical_search", LEXICAL_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+MINHASH_SQL = r"""
+WITH RECURSIVE said AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 1))) AS i FROM said WHERE len(w) > 0)
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles a JOIN shingles b USING (s) WHERE a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)
+), ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (SELECT doc_id AS a, doc_id AS b FROM said UNION SELECT reached.a, ways.b FROM reached JOIN ways ON ways.a = reached.b)
+SELECT a AS doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(b) AS component_id, min(b) = a AS kept
+FROM reached LEFT JOIN sizes ON sizes.doc_id = a GROUP BY a
+"""
+
+
+@query("op13_minhash_near_dedup", MINHASH_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))

@@ -1,0 +1,100 @@
+import math
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from lamina.llm import lexical
+from tests.llm.conftest import ODD
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def terms(text):
+    return TERM.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def ranked(docs, items, k=10):
+    """Every document against every item, by the formula."""
+    held = [(i, Counter(terms(t))) for i, t in docs]
+    held = [(i, c, sum(c.values())) for i, c in held if c]
+    n_docs, n_terms = len(held), sum(n for _, _, n in held)
+    df = Counter(t for _, c, _ in held for t in c)
+    out = []
+    for item in {i for i, _ in items}:
+        asked = {t for i, text in items if i == item for t in terms(text)}
+        scores = []
+        for i, counts, n in held:
+            m = 100 - 90 + 90 * n * n_docs // n_terms
+            score = sum(
+                math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * (10**9 * counts[t] // (1000 * counts[t] + 8 * m))
+                for t in asked
+                if counts[t]
+            )
+            if score > 0 and i is not None:
+                scores.append((-score, i))
+        out += [(item, rank, i, -s) for rank, (s, i) in enumerate(sorted(scores)[:k], 1)]
+    return out
+
+
+def found(rows):
+    return sorted(map(tuple, rows.select("item_id", "rank", "doc_id", "score").collect()), key=repr)
+
+
+def test_terms_by_hand():
+    text = "Ünï CÓDE a_b x2\x7fÉ-é\x1fZ 日本"
+    assert [t.decode() for t in lexical.terms_of(text.encode())] == terms(text) and lexical.terms_of(None) == []
+
+
+@pytest.mark.parametrize("per_block", [15, 1000])
+def test_ranks_equal_a_full_comparison(spark, make_docs, prose, per_block):
+    docs = [(i, prose(i % 180, 5 + i * i % 150, ("en", "de", "es")[i % 3])) for i in range(240)]
+    items = [(i, prose(1000 + i, 8, ("en", "de", "es")[i % 3])) for i in range(9)] + [(9, docs[17][1]), (10, "nowhere"), (11, None)]
+    asked = spark.createDataFrame(items, "item_id long, text string")
+    rows = lexical.search(make_docs(docs).repartition(5), asked, terms_per_block=per_block)
+    assert found(rows) == sorted(ranked(docs, items), key=repr)
+
+
+def test_no_survivor_is_lost():
+    draw = np.random.default_rng(3)
+    weights = draw.integers(1, 9000, 60)
+    sizes = draw.integers(1, 20, 400)
+    parts = [np.sort(draw.choice(60, n, replace=False)) for n in sizes]
+    impacts = [draw.integers(1, 900_000, n) for n in sizes]
+    lengths = np.array([math.sqrt((weights[t] * i.astype(float) ** 2).sum()) for t, i in zip(parts, impacts)])
+    bucket = lexical.Bucket(np.arange(400), lengths, np.r_[0, np.cumsum(sizes)], np.concatenate(parts), np.concatenate(impacts))
+    pruned = 0
+    for _ in range(50):
+        asked = draw.choice(60, draw.integers(1, 30), replace=False)
+        asked = asked[np.argsort(-weights[asked], kind="stable")]
+        dense = np.zeros(60, np.int64)
+        dense[asked] = weights[asked]
+        exact = np.array([(dense[t] * i).sum() for t, i in zip(parts, impacts)])
+        least = np.sort(exact)[-10]
+        rows = bucket.survivors(asked, weights[asked], least)
+        assert set(np.flatnonzero(exact >= max(least, 1))) <= set(rows)
+        assert (bucket.scores(rows, dense) == exact[rows]).all()
+        assert exact.max() <= math.sqrt(weights[asked].sum()) * bucket.longest * lexical.SLACK
+        pruned += 400 - len(rows)
+    assert pruned > 50 * 200
+
+
+def test_odd_rows(spark, odd):
+    items = [(1, "THE an"), (1, "tion"), (1, "tion"), (None, "keit"), (2, ""), (3, None), (4, "123")]
+    asked = spark.createDataFrame(items, "item_id long, text string").selectExpr("*", "1 AS term", "2 AS score")
+    extra = odd.selectExpr("*", "1 AS n", "2 AS terms", "'x' AS item_id")
+    assert found(lexical.search(extra, asked)) == sorted(ranked(ODD, items), key=repr)
+
+
+def test_empty_tables(spark, odd):
+    items = spark.createDataFrame([(1, "the")], "item_id long, text string")
+    assert lexical.search(odd.limit(0), items).count() == lexical.search(odd, items.limit(0)).count() == 0
+    assert lexical.search(odd.limit(0), items).dtypes == lexical.search(odd, items.limit(0)).dtypes
+
+
+def test_many_ties_and_few_hits(spark, make_docs):
+    docs = [(i, "same words here") for i in range(40)] + [(99, "other"), (100, "other other")]
+    items = [(1, "same"), (2, "other")]
+    asked = spark.createDataFrame(items, "item_id long, text string")
+    assert found(lexical.search(make_docs(docs).repartition(7), asked)) == sorted(ranked(docs, items), key=repr)

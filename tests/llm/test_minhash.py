@@ -1,0 +1,94 @@
+import random
+
+import numpy as np
+import pytest
+
+from lamina.llm import minhash
+from tests.llm.conftest import ODD
+from tests.llm.test_simhash import roots
+
+
+def plain_set(text, size=3):
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = [w for w in "".join(" " if c in "\t\n\x0b\x0c\r" else c for c in lowered).split(" ") if w]
+    if not words:
+        return set()
+    return {" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))}
+
+
+def grouped(docs, least=85):
+    sets = [plain_set(t) for _, t in docs]
+    links = [
+        (i, j) for i in range(len(docs)) for j in range(i) if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= least * len(sets[i] | sets[j])
+    ]
+    root = roots(range(len(docs)), links)
+    least_id = {}
+    for i, (doc_id, _) in enumerate(docs):
+        if doc_id is not None:
+            least_id[root[i]] = min(doc_id, least_id.get(root[i], doc_id))
+    return sorted(((d, len(s), least_id.get(root[i]), d == least_id.get(root[i])) for i, ((d, _), s) in enumerate(zip(docs, sets))), key=repr)
+
+
+def found(rows):
+    return sorted(map(tuple, rows.select("doc_id", "n_shingles", "component_id", "kept").collect()), key=repr)
+
+
+def changed(text, seed, share):
+    draw = random.Random(seed)
+    words = text.split(" ")
+    return " ".join(draw.choice("qxz") * draw.randint(1, 5) if draw.random() < share else w for w in words)
+
+
+def test_shingles_by_hand(prose):
+    texts = [None, "", " \t", "One", "a B", "a b c", "a b c a b c", "Ünï CÓDE a b x\x1fy z", prose(3, 50)]
+    assert [{s.decode() for s in minhash.shingles(t and t.encode())} for t in texts] == [plain_set(t) for t in texts]
+
+
+def test_bands_agree_as_often_as_they_should():
+    """A band of three rows agrees with the similarity's third power, in both collections."""
+    draw = np.random.default_rng(1)
+    sketcher, met = minhash.Sketcher(), []
+    for _ in range(300):
+        common, a, b = (draw.integers(0, 2**64 - 1, n, np.uint64) for n in (170, 15, 15))
+        x, y = (sketcher.of(np.concatenate([common, own])) for own in (a, b))
+        met.append(x == y)
+    rate = np.array(met).reshape(300, 2, -1).mean(axis=(0, 2))
+    assert (abs(rate - 0.85**3) < 0.03).all() and np.array(met).reshape(300, 2, -1).any(axis=2).all()
+
+
+def test_components_equal_a_full_comparison(spark, make_docs, prose):
+    docs, passage = [], prose(77, 60)
+    for group in range(12):
+        base = prose(group, 40 + 15 * group)
+        docs += [base, base.upper(), base.replace(" ", "\n ")]
+        docs += [changed(base, 100 * group + i, (0.01, 0.02, 0.04, 0.07)[i % 4]) for i in range(12)]
+    # A chain in which neighbours are linked and the ends are not, and texts that only share a passage.
+    words = prose(500, 120).split(" ")
+    docs += [" ".join(words[i : i + 80]) for i in range(0, 40, 3)]
+    docs += [f"{prose(600 + i, 25)} {passage}" for i in range(30)]
+    docs += [None, "", "one", "One", "one two", "Two one"]
+    rows = list(enumerate(docs))
+    random.Random(9).shuffle(rows)
+    result = found(minhash.near_duplicates(make_docs(rows).repartition(5)))
+    assert result == grouped(rows)
+    assert 20 < sum(kept for *_, kept in result) < len(rows) - 60
+
+
+def test_tables_of_unlike_sets_are_compared_in_full(spark, make_docs, prose):
+    """One row a band brings unlike sets together: the linked pairs among them are all found."""
+    passage = prose(1, 60)
+    docs = [f"{prose(10 + i // 2, 20)} {passage} {'end' if i % 2 else 'stop'}" for i in range(60)]
+    rows = list(enumerate(docs))
+    result = minhash.near_duplicates(make_docs(rows), bands=3, rows=1)
+    assert found(result) == grouped(rows)
+
+
+def test_odd_rows(spark, make_docs):
+    more = [*ODD, (None, "der ach keit " * 19_999 + "zu"), (None, "ver ch zu"), (11, "VER ch\tzu"), (12, "a b"), (12, "a b"), (13, "b a")]
+    docs = make_docs(more).selectExpr("*", "1 AS rep", "2 AS t", "'x' AS set_id", "3 AS n")
+    assert found(minhash.near_duplicates(docs)) == grouped(more)
+
+
+def test_empty_tables(spark, make_docs, odd):
+    assert minhash.near_duplicates(odd.limit(0)).count() == 0
+    assert found(minhash.near_duplicates(make_docs([(1, None), (2, "")]))) == [(1, 0, 1, True), (2, 0, 2, True)]

@@ -12,6 +12,7 @@ COLUMNS = {
     "op4_benchmark_decontamination": "doc_id:bigint n_words:bigint n_hit:bigint n_items:bigint items_sha256:string contaminated:boolean",
     "op6_personal_data": "doc_id:bigint n_email:bigint n_ip:bigint n_card:bigint n_phone:bigint base_sha256:string spans:string",
     "op9_simhash_near_dedup": "doc_id:bigint fingerprint:string component_id:bigint",
+    "op13_minhash_near_dedup": "doc_id:bigint n_shingles:bigint component_id:bigint kept:boolean",
     "op10_language_id": "doc_id:bigint held_out:boolean lang_pred:string score:double",
 }
 
@@ -28,7 +29,7 @@ def test_columns(spark, name):
     assert found.count() == spark.read.parquet(f"{SF_DIR}/documents.parquet").count() or name.startswith("op2")
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in entry.queries()
     assert len(corpus_pipeline.STAGES) == 5

@@ -1,0 +1,95 @@
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+
+from lamina.llm import spelling
+from tests.llm.conftest import ODD
+
+
+def one_apart(a, b):
+    if abs(len(a) - len(b)) > 1 or a == b:
+        return False
+    a, b = sorted((a, b), key=len)
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    return any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def counted(docs):
+    words = Counter()
+    for i, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(c.lower() if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            if h % 199 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            words[run] += 1
+    return {w: n for w, n in words.items() if len(w) >= 6 and n >= 5}
+
+
+def grouped(words):
+    forms, near = {}, {}
+    for w, n in words.items():
+        near[w] = [o for o in words if one_apart(w, o)]
+        best = min(near[w], key=lambda o: (-words[o], o), default=None)
+        forms[w] = best if best is not None and words[best] >= 5 * n else None
+
+    def root(w):
+        while forms[w]:
+            w = forms[w]
+        return w
+
+    return sorted((w, n, len(near[w]), forms[w], words.get(forms[w]), root(w)) for w, n in words.items())
+
+
+def found(rows):
+    return sorted(map(tuple, rows.select("word", "n", "n_near", "form", "form_n", "root").collect()))
+
+
+def test_one_edit_always_meets():
+    """Of two words at distance 1 the pivots of one look up what the other is found by, whatever the frequencies."""
+    draw = random.Random(4)
+    for _ in range(4000):
+        letters = draw.choice(["ab", "abcé", "abcdefgh"])
+        word = "".join(draw.choices(letters, k=draw.randint(6, 12)))
+        at, letter = draw.randrange(len(word)), draw.choice(letters)
+        other = draw.choice([word[:at] + word[at + 1 :], word[:at] + letter + word[at:], word[:at] + letter + word[at + 1 :]])
+        held = {x + y: draw.randint(1, 4) for x in letters for y in letters}
+        (a_asks, a_held), (b_asks, b_held) = (spelling.keys_of(w, [held[w[i : i + 2]] for i in range(len(w) - 1)]) for w in (word, other))
+        assert word == other or a_asks & b_held or b_asks & a_held
+
+
+def test_pivots_are_the_rarest_disjoint_pair():
+    draw = random.Random(5)
+    for _ in range(500):
+        grams = [(p, draw.randint(1, 9)) for p in sorted(draw.sample(range(12), draw.randint(3, 8)))]
+        a, b = spelling.pivots_of(grams)
+        held = dict(grams)
+        sums = [held[x] + held[y] for x in held for y in held if y - x >= 2]
+        assert b - a >= 2 and held[a] + held[b] == min(sums)
+
+
+@pytest.mark.parametrize("letters", ["ab", "abcdé"])
+def test_groups_equal_a_full_comparison(spark, make_docs, letters):
+    draw = random.Random(len(letters))
+    base = ["".join(draw.choices(letters, k=draw.randint(5, 9))) for _ in range(120)]
+    docs = []
+    for i in range(400):
+        words = [base[int(len(base) * draw.random() ** 3)] for _ in range(draw.randint(1, 60))]
+        words = [w.upper() if draw.random() < 0.1 else w for w in words]
+        words = [w[:2] + draw.choice(letters) + w[3:] if draw.random() < 0.1 else w for w in words]
+        docs.append((i, draw.choice([" ", ", ", "1"]).join(words)))
+    docs.append((400, "kettles " * 250 + "kettlez " * 40 + "kottlez " * 6))
+    expected = grouped(counted(docs))
+    rows = found(spelling.group_variants(make_docs(docs).repartition(6)))
+    assert rows == expected and any(r[3] for r in rows) and any(r[3] and r[5] != r[3] for r in rows)
+
+
+def test_odd_rows(spark, make_docs, odd):
+    more = [*ODD, (8, "variant " * 100_000 + "varient " * 5), (None, "variants " * 9), (9, "Großvater×÷ĀÿÀÀÀÀ " * 6)]
+    docs = make_docs(more).selectExpr("*", "1 AS word", "2 AS n", "'k' AS key")
+    assert found(spelling.group_variants(docs)) == grouped(counted(more))
+    assert spelling.group_variants(odd.limit(0)).count() == 0
