@@ -20,14 +20,16 @@ from pyspark.sql import types as T
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from lamina.functions.labels import label  # noqa: E402
-from lamina.operators import clean, retention  # noqa: E402
+from lamina.operators import clean, observe, retention  # noqa: E402
 from lamina.operators.aggregate import rollup_for, summarize, summarize_rollup  # noqa: E402
 from lamina.operators.conform import MONTH, YEAR, conform, stamp_lineage  # noqa: E402
 from lamina.operators.dedup import dedup  # noqa: E402
 from lamina.operators.enrich import Role, enrich  # noqa: E402
-from lamina.operators.quality import ERROR, Suite  # noqa: E402
-from lamina.plans import suites, trips  # noqa: E402
-from lamina.sources import files  # noqa: E402
+from lamina.operators.observe import Cleaning  # noqa: E402
+from lamina.operators.quality import ERROR, Suite, verdicts  # noqa: E402
+from lamina.plans import gold, pipeline, suites, trips  # noqa: E402
+from lamina.session import working_folder  # noqa: E402
+from lamina.sources import files, sinks  # noqa: E402
 
 PICKUP, DROPOFF = trips.PICKUP, trips.DROPOFF
 
@@ -222,17 +224,19 @@ def clean_pipeline(spark, sf_dir):
     return wall_clock(trips.clean_trips(conformed_trips(spark, sf_dir)).select(*TRIP_COLUMNS))
 
 
-# Two ingest months side by side, each cleaned by itself as a month's run does it.
-CLEAN_MONTHS = ((1995, 3), (1995, 4))
+def clean_by_month(spark, sf_dir):
+    """Every ingest month cleaned by itself, as a month's run does it."""
+    return wall_clock(trips.clean_months(conformed_trips(spark, sf_dir)).select(*TRIP_COLUMNS))
 
 
-def clean_by_month(spark, sf_dir):
-    conformed = conformed_trips(spark, sf_dir)
-    months = [
-        trips.clean_trips(trips.in_reach(conformed, year, month)).where((F.col(YEAR) == year) & (F.col(MONTH) == month))
-        for year, month in CLEAN_MONTHS
-    ]
-    return wall_clock(reduce(DataFrame.unionByName, months).select(*TRIP_COLUMNS))
+def cleaning_metrics(spark, sf_dir):
+    """What a cleaning saw on its way, while its result was written."""
+    seen, folder = Cleaning(), working_folder(spark)
+    cleaned = trips.clean_trips(conformed_trips(spark, sf_dir), seen)
+    cleaned.write.parquet(f"{folder}/clean")
+    rows = files.row_count(spark, f"{folder}/clean")
+    told = observe.metrics_table(cleaned, seen.metrics())
+    return told.withColumn("agrees", F.lit(seen.agrees(files.rows_of(raw_trips(spark, sf_dir)).first()["row_count"], rows)))
 
 
 def derived_columns(spark, sf_dir):
@@ -282,6 +286,149 @@ def gold_row_counts(spark, sf_dir):
     return reduce(DataFrame.unionByName, counts)
 
 
+# ---- queries that write a layer and read it again
+
+
+def layer_replace(spark, sf_dir):
+    """Land every month, replace 1996 by its first months only and 1995 twice; what is there afterwards."""
+    layer, raw = f"{working_folder(spark)}/layer", conformed_trips(spark, sf_dir)
+    year, by = F.col(YEAR), (YEAR, MONTH)
+
+    def land(df, within):
+        return sinks.replace_partitions(sinks.spread_by(df, by), layer, by, within)
+
+    land(raw.withColumn("fare_amount", F.when(year.isin(1995, 1996), -1.0).otherwise(F.col("fare_amount"))), {YEAR: None})
+    land(raw.where((year == 1996) & (F.col(MONTH) <= 6)), {YEAR: 1996})
+    land(raw.where((year == 1995) & (F.col("VendorID") == 1)), {YEAR: 1995})
+    land(raw.where(year == 1995), {YEAR: 1995})
+    return wall_clock(spark.read.parquet(layer).select(*TRIP_COLUMNS))
+
+
+def table_overwrite(spark, sf_dir):
+    """A table written twice: the second one's rows and columns, and their number from the footers."""
+    path, silver_df = f"{working_folder(spark)}/gold_revenue_trends", silver_trips(spark, sf_dir)
+    sinks.overwrite_table(silver_df.select("VendorID", PICKUP), path)
+    written = sinks.overwrite_table(summarize(silver_df, trips.GOLD_BY_NAME["gold_revenue_trends"]), path)
+    return spark.read.parquet(path).withColumn("rows_written", F.lit(written).cast("long"))
+
+
+def long_form(table_name: str, df: DataFrame, metrics) -> DataFrame:
+    """(table_name, key, metric, value) of a summary table; the key is its other columns as text."""
+    keys = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in df.columns if c not in metrics]
+    values = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics])
+    return df.select(F.lit(table_name).alias("table_name"), F.concat_ws("|", *keys).alias("key"), F.inline(values))
+
+
+def gold_incremental(spark, sf_dir):
+    """Gold built, then silver changed in one year and grown by another, then gold brought up to date from these alone."""
+    folder, raw = working_folder(spark), onto_month(raw_trips(spark, sf_dir), F.col(YEAR), 5).withColumn(MONTH, F.lit(5))
+    silver_df = trips.to_silver(conform(raw, trips.CONTRACT, trips.LINEAGE), zones(spark, sf_dir))
+    layer, by, year = f"{folder}/silver", trips.SILVER_PARTITIONS, F.col(YEAR)
+
+    def land(df, within):
+        sinks.replace_partitions(sinks.spread_by(df, by), layer, by, within)
+
+    land(silver_df.where(year != 1997).withColumn("fare_amount", F.when(year == 1996, 1.0).otherwise(F.col("fare_amount"))), {YEAR: None})
+    gold.aggregate(spark, layer, f"{folder}/gold", write_database=False)
+    for changed in (1996, 1997):
+        land(silver_df.where(year == changed), {YEAR: changed})
+    gold.aggregate(spark, layer, f"{folder}/gold", write_database=False)
+    tables = [long_form(t.name, spark.read.parquet(f"{folder}/gold/{t.name}"), [m.name for m in t.metrics]) for t in trips.GOLD]
+    return reduce(DataFrame.unionByName, tables)
+
+
+def onto_month(df: DataFrame, year: Column, month: int) -> DataFrame:
+    """The trips moved by whole days into one month, which has 31 days, so that a date holds as many as in a monthly file."""
+    day = F.make_date(year, F.lit(month), F.dayofmonth(PICKUP))
+    shift = F.make_dt_interval(F.date_diff(day, F.to_date(PICKUP)))
+    return df.withColumns({c: F.col(c) + shift for c in (PICKUP, DROPOFF)})
+
+
+def month_of_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stand-in as one month's raw trips: it spreads over years, and its days are folded onto May 1998."""
+    return onto_month(raw_trips(spark, sf_dir), F.lit(1998), 5).drop(YEAR, MONTH)
+
+
+def month_chain_over(spark: SparkSession, sf_dir: str) -> tuple[pipeline.Chain, dict]:
+    folder = working_folder(spark)
+    # Copies of a trip in one file, so that the file's name does not decide which of them stays.
+    month_of_trips(spark, sf_dir).repartition(8, *trips.TRIP_KEY).write.parquet(f"{folder}/raw")
+    zones(spark, sf_dir).coalesce(1).write.option("header", True).csv(f"{folder}/zones")
+    dirs = [f"{folder}/{name}" for name in ("raw", "bronze", "silver", "gold", "zones")]
+    chain = pipeline.Chain(spark, 1998, 5, *dirs, write_database=False)
+    return chain, chain.run(check=False)
+
+
+def month_chain(spark, sf_dir):
+    """A month's way through bronze, silver and gold: the numbers that the run reports."""
+    _, results = month_chain_over(spark, sf_dir)
+    found = pipeline.run_metrics(spark, results)
+    return found.where("value IS NOT NULL AND metric <> 'source_file_size_mb'").select("layer", "metric", "value")
+
+
+def dq_gates(spark, sf_dir):
+    """Every gate of that run: the verdict on each suite, and its summary."""
+    chain, results = month_chain_over(spark, sf_dir)
+    return verdicts(chain.report(results))
+
+
+DRIFT_SCHEMA = T.StructType(
+    [
+        T.StructField("o_orderkey", T.LongType()),
+        T.StructField("o_custkey", T.LongType()),
+        T.StructField("o_totalprice", T.DoubleType()),
+        T.StructField("o_orderstatus", T.StringType()),
+    ]
+)
+
+
+def schema_drift(spark, sf_dir):
+    """A layer each of whose partitions holds files of two types and one that lacks a column, read as one table."""
+    layer, by = f"{working_folder(spark)}/layer", [YEAR, MONTH]
+    landed = {YEAR: F.year("o_orderdate"), MONTH: F.month("o_orderdate")}
+    orders = table(spark, sf_dir, "orders").withColumns(landed).select(*DRIFT_SCHEMA.names, *by)
+    third = F.col("o_orderkey") % 3
+    old = orders.where(third == 0).withColumns({"o_custkey": F.col("o_custkey").cast("int"), "o_totalprice": F.col("o_totalprice").cast("string")})
+    for part in (old, orders.where(third == 1), orders.where(third == 2).drop("o_orderstatus")):
+        sinks.spread_by(part, by).write.mode("append").partitionBy(*by).parquet(layer)
+    return files.read_conformed(spark, layer, DRIFT_SCHEMA, by)
+
+
+CSV_COLUMNS = ("c_custkey", "c_name", "c_nationkey")
+CSV_SCHEMA = T.StructType([T.StructField("c_custkey", T.LongType()), T.StructField("C_NATIONKEY", T.IntegerType()), T.StructField("c_name", T.StringType())])
+
+
+def csv_of_customers(spark, sf_dir) -> str:
+    """Customers as text lines, of which some lack a field, have one too many, or hold a word for a number."""
+    path, key = f"{working_folder(spark)}/customer.csv", F.col("c_custkey")
+    nation = F.when(key % 11 == 3, F.lit("unknown")).otherwise(F.col("c_nationkey").cast("string"))
+    fields = F.when(key % 5 == 0, F.array(key.cast("string"), "c_name")).when(key % 7 == 0, F.array(key.cast("string"), "c_name", nation, F.lit("x")))
+    line = F.array_join(fields.otherwise(F.array(key.cast("string"), "c_name", nation)), ",")
+    table(spark, sf_dir, "customer").select(line.alias("value")).write.text(path)
+    return path
+
+
+def csv_table(spark, sf_dir):
+    """The rows of that CSV, and its broken lines as they are."""
+    path = csv_of_customers(spark, sf_dir)
+    rows = files.read_csv_table(spark, path, CSV_SCHEMA, columns=CSV_COLUMNS)
+    lines = files.csv_lines(spark, path, CSV_COLUMNS).where(F.col(files.CORRUPT_LINE).isNotNull())
+    broken = lines.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in CSV_SCHEMA.fields], F.col(files.CORRUPT_LINE).alias("broken"))
+    return rows.withColumn("broken", F.lit(None).cast("string")).unionByName(broken)
+
+
+def csv_report(spark, sf_dir):
+    return files.csv_report(spark, csv_of_customers(spark, sf_dir), CSV_SCHEMA, CSV_COLUMNS)
+
+
+def layout_audit(spark, sf_dir):
+    """A layer by month, to which a year's rows were added beside the layout."""
+    layer, landed = f"{working_folder(spark)}/layer", raw_trips(spark, sf_dir)
+    sinks.spread_by(landed, (YEAR, MONTH)).write.partitionBy(YEAR, MONTH).parquet(layer)
+    landed.where(F.col(YEAR) == 1994).write.parquet(f"{layer}/old")
+    return files.layout_audit(spark, layer).select("in_layout", "rows")
+
+
 def nullable_lines(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").withColumns(
         {"line": null_if("l_linenumber", 3), "flag": null_if("l_returnflag", "N")}
@@ -364,8 +511,9 @@ def dq_silver_gate(spark, sf_dir):
 
 
 def dq_gold_report(spark, sf_dir):
-    name = "gold_daily_zone_trips"
-    return report(suites.gold_suite(name), summarize(silver_trips(spark, sf_dir), trips.GOLD_BY_NAME[name]))
+    """The gates of all five gold tables as one report."""
+    rollup = rollup_for(silver_trips(spark, sf_dir), trips.GOLD)
+    return reduce(DataFrame.unionByName, [report(suites.gold_suite(t.name), summarize_rollup(rollup, t)) for t in trips.GOLD])
 
 
 def dq_bronze_report(spark, sf_dir):
@@ -389,6 +537,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rule_report": rule_report,
     "clean_pipeline": clean_pipeline,
     "clean_by_month": clean_by_month,
+    "cleaning_metrics": cleaning_metrics,
+    "layer_replace": layer_replace,
+    "table_overwrite": table_overwrite,
+    "gold_incremental": gold_incremental,
+    "month_chain": month_chain,
+    "schema_drift": schema_drift,
+    "csv_table": csv_table,
+    "csv_report": csv_report,
+    "layout_audit": layout_audit,
     "derived_columns": derived_columns,
     "dim_join_left": dim_join_left,
     "dim_join_two_roles": dim_join_two_roles,
@@ -411,6 +568,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_silver_gate": dq_silver_gate,
     "dq_gold_report": dq_gold_report,
     "dq_bronze_report": dq_bronze_report,
+    "dq_gates": dq_gates,
 }
 
 # ---- oracle SQL --------------------------------------------------------------
@@ -580,6 +738,10 @@ def duplicates_check(columns: list[str], severity: str = "warning"):
 
 
 def report_sql(suite: str, with_sql: str, source: str, checks: list) -> str:
+    return f"WITH {with_sql}\n" + checks_sql(suite, source, checks)
+
+
+def checks_sql(suite: str, source: str, checks: list) -> str:
     """One SELECT per check, each aggregating the source by itself."""
     selects = []
     for number, (name, severity, seen, test, threshold) in enumerate(checks):
@@ -591,7 +753,7 @@ def report_sql(suite: str, with_sql: str, source: str, checks: list) -> str:
             f"({test.format(seen='observed')}) AS success, observed, CAST({bound} AS DOUBLE) AS threshold "
             f"FROM (SELECT {observed} AS observed" + (f" FROM {source})" if seen else ")")
         )
-    return f"WITH {with_sql}\n" + "\nUNION ALL\n".join(selects)
+    return "\nUNION ALL\n".join(selects)
 
 
 RETENTION_SQL = f"""
@@ -619,26 +781,100 @@ SILVER_CHECKS = [
     duplicates_check(list(trips.TRIP_KEY), "error"),
     rows_check(1, None),
 ]
-GOLD_CHECKS = [rows_check(1, None)] + [
-    check
-    for column in ("trip_count", "avg_fare", "avg_trip_distance", "total_revenue")
-    for check in (exists_check(column), not_null_check(column), between_check(column, 0, None))
-]
-BRONZE_CHECKS = [
-    *[
-        exists_check(column)
-        for column in ("VendorID", PICKUP, DROPOFF, "fare_amount", "PULocationID", "DOLocationID", YEAR, MONTH)
-    ],
-    exists_check("_source_file", there=False),
-    rows_check(1, None),
-    not_null_check(PICKUP, 0.99),
-]
+RETENTION_CHECK = (
+    "expect_bronze_to_silver_retention_within_bounds", "error", "count(*) / (SELECT count(*) FROM raw_trips)::DOUBLE",
+    "{seen} >= 0.8 AND {seen} <= 1.0", 0.8,
+)
+GOLD_METRICS = {
+    "gold_daily_zone_trips": ("trip_count", "avg_fare", "avg_trip_distance", "total_revenue"),
+    "gold_hourly_trips": ("trip_count", "avg_fare"),
+    "gold_borough_fares": ("trip_count", "avg_fare", "avg_trip_distance", "avg_duration_minutes"),
+    "gold_revenue_trends": ("trip_count", "total_fare", "total_tips", "total_revenue"),
+    "gold_tip_by_payment": ("trip_count", "avg_tip_pct"),
+}
+GOLD_KEYS = {
+    "gold_daily_zone_trips": ("pickup_date", "PULocationID", "pickup_zone", "pickup_borough"),
+    "gold_hourly_trips": ("pickup_date", "pickup_hour"),
+    "gold_borough_fares": ("pickup_borough",),
+    "gold_revenue_trends": ("pickup_date",),
+    "gold_tip_by_payment": ("payment_type", "payment_type_label"),
+}
+
+
+def gold_checks(name: str) -> list:
+    return [rows_check(1, None)] + [
+        check
+        for column in GOLD_METRICS[name]
+        for check in (exists_check(column), not_null_check(column), between_check(column, 0, None))
+    ]
+
+
+def bronze_checks(with_file: bool) -> list:
+    return [
+        *[
+            exists_check(column)
+            for column in ("VendorID", PICKUP, DROPOFF, "fare_amount", "PULocationID", "DOLocationID", YEAR, MONTH)
+        ],
+        exists_check("_source_file", there=with_file),
+        rows_check(1, None),
+        not_null_check(PICKUP, 0.99),
+    ]
+
+
+GOLD_TABLES_SQL = ", ".join(f"{name} AS ({sql})" for name, sql in GOLD_SQL.items())
+GOLD_REPORTS = [(f"gold_{name}", name, gold_checks(name)) for name in GOLD_SQL]
+
+
+def reports_sql(with_sql: str, reports: list) -> str:
+    """The reports of several suites, (name, source, checks) each, as one table."""
+    return f"WITH {with_sql}\n" + "\nUNION ALL\n".join(checks_sql(*given) for given in reports)
+
+
+# The stand-in folded onto one month, under the name that the rules and the cleaning look at.
+def month_sql(year: str) -> str:
+    return f"""{TRIPS_SQL.replace("raw_trips AS", "spread_trips AS")},
+shifted AS (SELECT *, to_days(CAST(make_date({year}, 5, CAST(day({PICKUP}) AS INTEGER)) - CAST({PICKUP} AS DATE) AS INTEGER)) AS shift FROM spread_trips),
+raw_trips AS (
+  SELECT * EXCLUDE (shift) REPLACE ({PICKUP} + shift AS {PICKUP}, {DROPOFF} + shift AS {DROPOFF},
+    CAST({year} AS INTEGER) AS {YEAR}, CAST(5 AS INTEGER) AS {MONTH})
+  FROM shifted
+)"""
+
+
+MONTH_SILVER_SQL = SILVER_SQL.replace(TRIPS_SQL, month_sql("1998"))
+YEARS_SILVER_SQL = SILVER_SQL.replace(TRIPS_SQL, month_sql(YEAR))
+DROPS_SQL = f"""
+  SELECT count(*) AS rows_in, count(*) FILTER (WHERE NOT valid) AS invalid, count(DISTINCT CASE WHEN valid THEN ({KEY_SQL}) END) AS rows_out,
+    {", ".join(f"count(*) FILTER (WHERE NOT coalesce({rule}, false)) AS failed{i}" for i, rule in enumerate(RULES_SQL.values()))}
+  FROM (SELECT *, coalesce({VALID_SQL}, false) AS valid FROM raw_trips)"""
+PCT_SQL = "CAST((20000 * rows_out + rows_in) // (2 * rows_in) AS DOUBLE) / 100"
+
+
+def metrics_sql(metrics: dict, prefix: str = "") -> str:
+    """(metric, value) rows, each an expression over `drops`."""
+    told = {**metrics, **{f"failed.{name}": f"failed{i}" for i, name in enumerate(RULES_SQL)}}
+    return " UNION ALL ".join(f"SELECT {prefix}'{name}' AS metric, CAST({value} AS DOUBLE) AS value FROM drops" for name, value in told.items())
+
+
+def long_form_sql(name: str) -> str:
+    key = "concat_ws('|', " + ", ".join(f"coalesce(CAST({k} AS VARCHAR), '-')" for k in GOLD_KEYS[name]) + ")"
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, {key} AS key, '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM {name}" for m in GOLD_METRICS[name]
+    )
 
 
 def gold_sql(name: str) -> str:
     return f"WITH {SILVER_SQL} {GOLD_SQL[name]}"
 
 
+CSV_SQL = """
+        WITH said AS (
+          SELECT *, c_custkey % 5 <> 0 AND c_custkey % 7 <> 0 AS whole, concat_ws(',', c_custkey, c_name,
+            CASE WHEN c_custkey % 5 = 0 THEN NULL WHEN c_custkey % 11 = 3 THEN 'unknown' ELSE c_nationkey::VARCHAR END,
+            CASE WHEN c_custkey % 5 <> 0 AND c_custkey % 7 = 0 THEN 'x' END) AS line
+          FROM customer
+        )"""
+
 ORACLES: dict[str, str] = {
     "scan_profile": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, (SELECT count(*) FROM {t}) AS row_count, "
@@ -692,8 +928,40 @@ ORACLES: dict[str, str] = {
         for name, rule in RULES_SQL.items()
     ),
     "clean_pipeline": f"WITH {CLEAN_SQL} SELECT {', '.join(TRIP_COLUMNS)} FROM clean",
-    "clean_by_month": f"""WITH {CLEAN_SQL} SELECT {', '.join(TRIP_COLUMNS)} FROM clean
-        WHERE ({YEAR}, {MONTH}) IN ({', '.join(map(str, CLEAN_MONTHS))})""",
+    "clean_by_month": f"WITH {CLEAN_SQL} SELECT {', '.join(TRIP_COLUMNS)} FROM clean",
+    "cleaning_metrics": f"WITH {TRIPS_SQL}, drops AS ({DROPS_SQL}) SELECT *, true AS agrees FROM ("
+    + metrics_sql({"rows_in": "rows_in", "invalid": "invalid", "duplicates": "rows_in - invalid - rows_out", "rows_out": "rows_out", "retention_pct": PCT_SQL})
+    + ")",
+    "layer_replace": f"""WITH {TRIPS_SQL} SELECT {', '.join(TRIP_COLUMNS)} FROM raw_trips WHERE {YEAR} <> 1996 OR {MONTH} <= 6""",
+    "table_overwrite": f"WITH {SILVER_SQL}, trend AS ({GOLD_SQL['gold_revenue_trends']}) SELECT *, (SELECT count(*) FROM trend) AS rows_written FROM trend",
+    "gold_incremental": f"WITH {YEARS_SILVER_SQL}, {GOLD_TABLES_SQL} " + " UNION ALL ".join(map(long_form_sql, GOLD_SQL)),
+    "month_chain": f"WITH {MONTH_SILVER_SQL}, {GOLD_TABLES_SQL}, drops AS ({DROPS_SQL}) "
+    + "SELECT 'bronze' AS layer, m.metric, m.value FROM (SELECT unnest([{'metric': 'year', 'value': 1998.0}, {'metric': 'month', 'value': 5.0}, "
+    + "{'metric': 'row_count', 'value': (SELECT count(*) FROM raw_trips)}, {'metric': 'column_count', 'value': 12.0}]) AS m) "
+    + " UNION ALL "
+    + metrics_sql(
+        {
+            "bronze_rows": "rows_in", "silver_rows": "rows_out", "rows_dropped": "rows_in - rows_out", "retention_pct": PCT_SQL,
+            "invalid": "invalid", "duplicates": "rows_in - invalid - rows_out",
+        },
+        "'silver' AS layer, ",
+    )
+    + " UNION ALL SELECT 'gold', 'silver_rows', CAST(count(*) AS DOUBLE) FROM silver"
+    + "".join(f" UNION ALL SELECT 'gold', 'gold_table_rows.{name}', CAST(count(*) AS DOUBLE) FROM {name}" for name in GOLD_SQL),
+    "schema_drift": f"""
+        SELECT o_orderkey, o_custkey, o_totalprice, CASE WHEN o_orderkey % 3 <> 2 THEN o_orderstatus END AS o_orderstatus,
+          CAST(year(o_orderdate) AS INTEGER) AS {YEAR}, CAST(month(o_orderdate) AS INTEGER) AS {MONTH}
+        FROM orders""",
+    "csv_table": f"""{CSV_SQL}
+        SELECT CASE WHEN whole THEN c_custkey END AS c_custkey, CASE WHEN whole AND c_custkey % 11 <> 3 THEN CAST(c_nationkey AS INTEGER) END AS C_NATIONKEY,
+          CASE WHEN whole THEN c_name END AS c_name, CASE WHEN NOT whole THEN line END AS broken
+        FROM said""",
+    "csv_report": f"""{CSV_SQL}
+        SELECT count(*) AS lines, count(*) FILTER (WHERE NOT whole) AS broken, CAST(0 AS BIGINT) AS unfit_c_custkey,
+          count(*) FILTER (WHERE whole AND c_custkey % 11 = 3) AS "unfit_C_NATIONKEY", CAST(0 AS BIGINT) AS unfit_c_name
+        FROM said""",
+    "layout_audit": f"""WITH {TRIPS_SQL} SELECT true AS in_layout, count(*) AS rows FROM raw_trips
+        UNION ALL SELECT false, count(*) FROM raw_trips WHERE {YEAR} = 1994""",
     "derived_columns": f"WITH {TRIPS_SQL} SELECT VendorID, {PICKUP}, fare_amount, tip_amount, {DERIVED_SQL} FROM raw_trips",
     "dim_join_left": f"""
         WITH {ZONES_SQL} SELECT o_orderkey, location, Borough AS borough, Zone AS zone
@@ -803,22 +1071,24 @@ ORACLES: dict[str, str] = {
         "silver",
         [
             *SILVER_CHECKS,
-            (
-                "expect_bronze_to_silver_retention_within_bounds",
-                "error",
-                "count(*) / (SELECT count(*) FROM raw_trips)::DOUBLE",
-                "{seen} >= 0.8 AND {seen} <= 1.0",
-                0.8,
-            ),
+            RETENTION_CHECK,
         ],
     ),
-    "dq_gold_report": report_sql(
-        "gold_gold_daily_zone_trips",
-        f"{SILVER_SQL}, daily AS ({GOLD_SQL['gold_daily_zone_trips']})",
-        "daily",
-        GOLD_CHECKS,
-    ),
-    "dq_bronze_report": report_sql("bronze_yellow_tripdata", TRIPS_SQL, "raw_trips", BRONZE_CHECKS),
+    "dq_gold_report": reports_sql(f"{SILVER_SQL}, {GOLD_TABLES_SQL}", GOLD_REPORTS),
+    "dq_bronze_report": report_sql("bronze_yellow_tripdata", TRIPS_SQL, "raw_trips", bronze_checks(False)),
+    "dq_gates": "SELECT *, errors = 0 AS success, suite || ': ' || met || '/' || checks || ' met; errors: ' || errors || ', warnings: ' || warnings AS summary FROM ("
+    + "SELECT suite, count(*) AS checks, count(*) FILTER (WHERE success) AS met, "
+    + "count(*) FILTER (WHERE NOT success AND severity = 'error') AS errors, count(*) FILTER (WHERE NOT success AND severity = 'warning') AS warnings FROM ("
+    + reports_sql(
+        f"{MONTH_SILVER_SQL}, {GOLD_TABLES_SQL}",
+        [
+            ("bronze_yellow_tripdata", "raw_trips", bronze_checks(True)),
+            ("silver_yellow_tripdata", "silver", [*SILVER_CHECKS, RETENTION_CHECK]),
+            ("silver_overlap", "silver", [duplicates_check(list(trips.TRIP_KEY), "error")]),
+            *GOLD_REPORTS,
+        ],
+    )
+    + ") GROUP BY suite)",
 }
 
 # ---- contract ----------------------------------------------------------------

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -93,6 +95,17 @@ def rollup_for(df: DataFrame, summaries: Sequence[Summary], by: Sequence[str] =
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_ROWS), *partials)
 
 
+def rollup_definition(summaries: Sequence[Summary], by: Sequence[str] = ()) -> str:
+    """A digest of all that a rollup's columns depend on: its keys, and each measured column with its unit.
+
+    Rounding, labels, and whether a mean or a sum is made of a column do not change the rollup.
+    """
+    keys = sorted({*by, *(k for s in summaries for k in s.by)})
+    measured = sorted({(m.column, m.per or 0) for s in summaries for m in s.metrics if m.column is not None})
+    told = json.dumps([keys, measured, exact.LARGEST_UNITS])
+    return hashlib.sha256(told.encode()).hexdigest()
+
+
 def rollup_rows(rollup: DataFrame) -> DataFrame:
     """One row: how many rows the rollup was made from."""
     return rollup.agg(F.coalesce(F.sum(_ROWS), F.lit(0)).alias("rows"))

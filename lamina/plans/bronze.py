@@ -9,7 +9,7 @@ import logging
 from pyspark.sql import SparkSession
 
 from lamina.operators.conform import MONTH, YEAR, stamp_lineage
-from lamina.session import get_spark
+from lamina.session import job
 from lamina.sources import files, sinks, storage
 
 log = logging.getLogger(__name__)
@@ -65,12 +65,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--input", help="raw parquet file or directory")
     parser.add_argument("--bronze-dir", default=BRONZE_DIR)
     args = parser.parse_args(argv)
-    logging.basicConfig(level=logging.INFO)
-    spark = get_spark("bronze_ingest")
-    try:
+    with job("bronze_ingest") as spark:
         ingest(spark, args.year, args.month, args.input or raw_path(args.year, args.month), args.bronze_dir)
-    finally:
-        spark.stop()
 
 
 if __name__ == "__main__":

@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 
 from lamina.operators.conform import MONTH, YEAR
-from lamina.session import get_spark
+from lamina.session import job
 from lamina.sources.files import row_count
 
 
@@ -15,11 +15,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--year", type=int, help="only this ingest year")
     parser.add_argument("--month", type=int, help="only this ingest month")
     args = parser.parse_args(argv)
-    spark = get_spark("count_rows")
-    try:
+    with job("count_rows") as spark:
         rows = row_count(spark, args.path, {YEAR: args.year, MONTH: args.month})
-    finally:
-        spark.stop()
     print(rows)
 
 

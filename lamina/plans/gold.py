@@ -6,11 +6,12 @@ import argparse
 import logging
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lamina.operators.aggregate import rollup_for, rollup_rows, summarize, summarize_rollup
+from lamina.operators.aggregate import rollup_definition, rollup_for, rollup_rows, summarize, summarize_rollup
 from lamina.plans import trips
 from lamina.plans.silver import SILVER_DIR
-from lamina.session import get_spark, shuffle_sized_for
+from lamina.session import job, shuffle_sized_for
 from lamina.sources import files, sinks, storage
 
 log = logging.getLogger(__name__)
@@ -27,41 +28,63 @@ def rollup_dir(gold_dir: str) -> str:
     return f"{str(gold_dir).rstrip('/')}/rollup"
 
 
-def partition_times(spark: SparkSession, root: str) -> dict[str, int]:
-    """Partition directory below a layer's root -> when its newest file was written."""
-    newest: dict[str, int] = {}
-    for name, _, changed in storage.files_below(spark, root):
-        directory = name.rpartition("/")[0]
-        newest[directory] = max(changed, newest.get(directory, 0))
-    return newest
+def sources_table(gold_dir: str) -> str:
+    return f"{str(gold_dir).rstrip('/')}/rollup_sources"
 
 
-def stale_silver(spark: SparkSession, silver_dir: str, rolled_dir: str) -> DataFrame | None:
-    """Silver rows of the partitions that the rollup lacks, or holds from before they were written; None for none."""
-    silver, rolled = partition_times(spark, silver_dir), partition_times(spark, rolled_dir)
-    stale = sorted(d for d, written in silver.items() if rolled.get(d, 0) <= written)
-    if not stale:
-        return None
-    paths = [silver_dir] if len(stale) == len(silver) else [f"{silver_dir.rstrip('/')}/{d}" for d in stale]
-    return spark.read.option("basePath", silver_dir).parquet(*paths)
+def partition_files(spark: SparkSession, root: str) -> dict[str, tuple]:
+    """Partition directory below a layer's root -> (files, a sum over their names). As many as the layout has.
+
+    Every write gives its files new names, so a partition that was written anew, or lost or gained a file, differs.
+    """
+    names = F.sum(F.xxhash64("name").cast("decimal(38,0)")).alias("names")
+    with storage.listing(spark):
+        found = storage.file_table(spark, root).where(F.col("directory") != "").groupBy("directory").agg(F.count("*").alias("files"), names)
+        return {r["directory"]: (r["files"], r["names"]) for r in found.collect()}
+
+
+def rolled_files(spark: SparkSession, gold_dir: str) -> dict[str, tuple]:
+    """What the rollup was made from, as `partition_files` gave it; nothing of a rollup that was defined otherwise."""
+    if not storage.exists(spark, sources_table(gold_dir)) or not storage.exists(spark, rollup_dir(gold_dir)):
+        return {}
+    known = spark.read.parquet(sources_table(gold_dir)).where(F.col("definition") == definition())
+    return {r["directory"]: (r["files"], r["names"]) for r in known.collect()}
+
+
+def definition() -> str:
+    return rollup_definition(trips.GOLD, trips.SILVER_PARTITIONS)
+
+
+def stale_partitions(spark: SparkSession, silver_dir: str, gold_dir: str) -> tuple[list[str], list[str], dict[str, tuple]]:
+    """Partitions of silver that the rollup lacks or has from other files, those that silver lost, and silver's files."""
+    silver, rolled = partition_files(spark, silver_dir), rolled_files(spark, gold_dir)
+    stale = sorted(d for d, held in silver.items() if rolled.get(d) != held)
+    return stale, sorted(d for d in rolled if d not in silver), silver
 
 
-def refresh_rollup(spark: SparkSession, silver_dir: str, rolled_dir: str) -> DataFrame:
+def refresh_rollup(spark: SparkSession, silver_dir: str, gold_dir: str) -> DataFrame:
     """The rollup of all of silver, for which only partitions that changed since are read.
 
     It holds sums at ingest month, date, hour, zone and payment type, so that its size follows the calendar
-    and the zones, and is partitioned as silver is; partitions that silver no longer has are dropped.
+    and the zones, and is partitioned as silver is. Beside it stands what it was made from: for each partition silver's
+    files, and how the rollup is defined (its keys, columns and their units). What was made from other files is
+    made again, and under another definition all of it is; partitions that silver no longer has are dropped.
     """
-    stale = stale_silver(spark, silver_dir, rolled_dir)
-    if stale is not None:
+    rolled_dir, levels = rollup_dir(gold_dir), trips.SILVER_PARTITIONS
+    stale, gone, silver = stale_partitions(spark, silver_dir, gold_dir)
+    if stale:
+        whole = len(stale) == len(silver)
+        paths = [silver_dir] if whole else [f"{silver_dir.rstrip('/')}/{d}" for d in stale]
+        changed = spark.read.option("basePath", silver_dir).parquet(*paths)
         with shuffle_sized_for(spark, files.layer_bytes(spark, silver_dir)):
-            rollup = rollup_for(stale, trips.GOLD, trips.SILVER_PARTITIONS)
-            spread = sinks.spread_by(rollup, trips.SILVER_PARTITIONS)
-            sinks.replace_partitions(spread, rolled_dir, trips.SILVER_PARTITIONS)
-    silver = partition_times(spark, silver_dir)
-    for directory in partition_times(spark, rolled_dir):
-        if directory not in silver:
+            rollup = rollup_for(changed, trips.GOLD, levels)
+            sinks.replace_partitions(sinks.spread_by(rollup, levels), rolled_dir, levels, {levels[0]: None} if whole else None)
+    if stale or gone:
+        for directory in gone:
             storage.remove(spark, f"{rolled_dir}/{directory}")
+        made_from = [(d, n, names, definition()) for d, (n, names) in sorted(silver.items())]
+        told = spark.createDataFrame(made_from, "directory string, files long, names decimal(38,0), definition string")
+        sinks.overwrite_table(told.coalesce(1), sources_table(gold_dir))
     return spark.read.parquet(rolled_dir)
 
 
@@ -72,7 +95,7 @@ def aggregate(spark: SparkSession, silver_dir: str, gold_dir: str, write_databas
     """
     silver_dir, gold_dir = str(silver_dir), str(gold_dir)
     options = {table.name: sinks.jdbc_options(table.name) for table in trips.GOLD} if write_database else {}
-    rollup = refresh_rollup(spark, silver_dir, rollup_dir(gold_dir))
+    rollup = refresh_rollup(spark, silver_dir, gold_dir)
     silver_rows = rollup_rows(rollup).first()["rows"]
     rows = {}
     for table in trips.GOLD:
@@ -90,12 +113,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--gold-dir", default=GOLD_DIR)
     parser.add_argument("--no-postgres", action="store_true", help="write parquet only")
     args = parser.parse_args(argv)
-    logging.basicConfig(level=logging.INFO)
-    spark = get_spark("gold_aggregate")
-    try:
+    with job("gold_aggregate") as spark:
         aggregate(spark, args.silver_dir, args.gold_dir, write_database=not args.no_postgres)
-    finally:
-        spark.stop()
 
 
 if __name__ == "__main__":

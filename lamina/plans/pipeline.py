@@ -5,45 +5,82 @@ from __future__ import annotations
 import argparse
 import json
 import logging
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lamina.operators.quality import Suite
 from lamina.plans import bronze, gold, silver, suites, trips
-from lamina.session import get_spark
+from lamina.session import job
 
 log = logging.getLogger(__name__)
 
 
-def run(
-    spark: SparkSession,
-    year: int,
-    month: int,
-    input_path: str,
-    bronze_dir: str = bronze.BRONZE_DIR,
-    silver_dir: str = silver.SILVER_DIR,
-    gold_dir: str = gold.GOLD_DIR,
-    zones_path: str = silver.ZONES_PATH,
-    write_database: bool = True,
-    check: bool = True,
-) -> dict:
-    """Run the layers in turn; a failed gate raises and stops the chain.
-
-    The bronze and silver gates look at the month that was just written.
+@dataclass(frozen=True)
+class Chain:
+    """One month's way through the layers: where they are, and how their values are read.
+
+    `layers` names each layer with its job and its gates; a gate is a suite and the rows it looks at, which for
+    bronze and silver are the month's.
     """
-    results = {"bronze": bronze.ingest(spark, year, month, input_path, bronze_dir)}
-    if check:
-        suites.passed(suites.bronze_suite(), suites.GATES["bronze"].read(spark, bronze_dir, year, month))
-    results["silver"] = silver.transform(spark, bronze_dir, silver_dir, year, month, zones_path)
-    if check:
-        gate = suites.silver_suite(results["bronze"]["row_count"])
-        suites.passed(gate, suites.GATES["silver"].read(spark, silver_dir, year, month))
-        suites.passed(suites.overlap_suite(), silver.around(spark, silver_dir, year, month))
-    results["gold"] = gold.aggregate(spark, silver_dir, gold_dir, write_database)
-    if check:
-        for table in trips.GOLD:
-            suites.passed(suites.gold_suite(table.name), suites.GATES["gold"].read(spark, f"{gold_dir}/{table.name}"))
-    return results
+
+    spark: SparkSession
+    year: int
+    month: int
+    input_path: str
+    bronze_dir: str = bronze.BRONZE_DIR
+    silver_dir: str = silver.SILVER_DIR
+    gold_dir: str = gold.GOLD_DIR
+    zones_path: str = silver.ZONES_PATH
+    write_database: bool = True
+    mode: str = "lenient"
+
+    @property
+    def layers(self) -> list[tuple[str, Callable[[], dict], Callable[[Mapping], list]]]:
+        return [("bronze", self._land, self._bronze_gates), ("silver", self._refine, self._silver_gates), ("gold", self._sum_up, self._gold_gates)]
+
+    def _land(self) -> dict:
+        return bronze.ingest(self.spark, self.year, self.month, self.input_path, self.bronze_dir)
+
+    def _refine(self) -> dict:
+        return silver.transform(self.spark, self.bronze_dir, self.silver_dir, self.year, self.month, self.zones_path, self.mode)
+
+    def _sum_up(self) -> dict:
+        return gold.aggregate(self.spark, self.silver_dir, self.gold_dir, self.write_database)
+
+    def _gate(self, layer: str, suite: Suite, path: str) -> tuple[Suite, DataFrame]:
+        return suite, suites.GATES[layer].read(self.spark, path, self.year, self.month)
+
+    def _bronze_gates(self, _results: Mapping) -> list:
+        return [self._gate("bronze", suites.bronze_suite(), self.bronze_dir)]
+
+    def _silver_gates(self, results: Mapping) -> list:
+        around = silver.around(self.spark, self.silver_dir, self.year, self.month)
+        return [self._gate("silver", suites.silver_suite(results["bronze"]["row_count"]), self.silver_dir), (suites.overlap_suite(), around)]
+
+    def _gold_gates(self, _results: Mapping) -> list:
+        return [self._gate("gold", suites.gold_suite(table.name), f"{self.gold_dir}/{table.name}") for table in trips.GOLD]
+
+    def run(self, check: bool = True) -> dict:
+        """Runs the layers in turn; gives each one's metadata. A gate that fails raises, and nothing after it is run."""
+        results: dict = {}
+        for name, work, gates in self.layers:
+            results[name] = work()
+            for suite, rows in gates(results) if check else ():
+                suites.passed(suite, rows)
+        return results
+
+    def report(self, results: Mapping) -> DataFrame:
+        """The findings of every gate over the layers as they are, as one table; see `Suite.report`."""
+        found = [suite.report(rows) for _, _, gates in self.layers for suite, rows in gates(results)]
+        return reduce(DataFrame.unionByName, found)
+
+
+def run(spark: SparkSession, year: int, month: int, input_path: str, *dirs: str, check: bool = True, **options) -> dict:
+    """`Chain(...).run(check)` in one call; `dirs` are the bronze, silver and gold directories and the zones' path."""
+    return Chain(spark, year, month, input_path, *dirs, **options).run(check)
 
 
 def run_metrics(spark: SparkSession, results: Mapping) -> DataFrame:
@@ -73,28 +110,18 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--silver-dir", default=silver.SILVER_DIR)
     parser.add_argument("--gold-dir", default=gold.GOLD_DIR)
     parser.add_argument("--zones", default=silver.ZONES_PATH)
+    silver.add_strict(parser)
     parser.add_argument("--no-postgres", action="store_true", help="write parquet only")
     parser.add_argument("--skip-dq", action="store_true", help="skip the quality gates")
     args = parser.parse_args(argv)
-    logging.basicConfig(level=logging.INFO)
-    input_path = args.input or bronze.raw_path(args.year, args.month)
-    spark = get_spark("trip_pipeline")
-    try:
-        results = run(
-            spark,
-            args.year,
-            args.month,
-            input_path,
-            args.bronze_dir,
-            args.silver_dir,
-            args.gold_dir,
-            args.zones,
-            write_database=not args.no_postgres,
-            check=not args.skip_dq,
-        )
-    finally:
-        spark.stop()
-    log.info("pipeline complete:\n%s", json.dumps(results, indent=2))
+    source = args.input or bronze.raw_path(args.year, args.month)
+    with job("trip_pipeline") as spark:
+        chain = Chain(
+            spark, args.year, args.month, source, args.bronze_dir, args.silver_dir, args.gold_dir, args.zones,
+            write_database=not args.no_postgres, mode=silver.mode_of(args),
+        )
+        results = chain.run(check=not args.skip_dq)
+    log.info("all layers of %d-%02d written:\n%s", args.year, args.month, json.dumps(results, indent=2))
 
 
 if __name__ == "__main__":

@@ -14,6 +14,7 @@ from lamina.operators.clean import Rule
 from lamina.operators.conform import MONTH, SOURCE_FILE, YEAR
 from lamina.operators.dedup import dedup
 from lamina.operators.enrich import Role, enrich
+from lamina.operators.observe import Cleaning
 
 PICKUP, DROPOFF = "tpep_pickup_datetime", "tpep_dropoff_datetime"
 
@@ -61,6 +62,7 @@ PAYMENT_LABELS = {
 }
 
 LINEAGE = (YEAR, MONTH, SOURCE_FILE)
+_FOR = "_for_month"
 
 # The key of a trip, most selective column first: it leads the sort (see dedup).
 TRIP_KEY = (PICKUP, DROPOFF, "fare_amount", "PULocationID", "DOLocationID", "VendorID")
@@ -126,13 +128,44 @@ def rules(df: DataFrame) -> list[Rule]:
     ]
 
 
-def clean_trips(df: DataFrame) -> DataFrame:
+def clean_trips(df: DataFrame, seen: Cleaning | None = None) -> DataFrame:
     """Conformed trips -> valid ones, one per key. Filters come first: only what survives is
-    shuffled, and a bad row never stands for a good one."""
-    valid = clean.apply_rules(clean.impute(df, DEFAULTS), rules(df))
+    shuffled, and a bad row never stands for a good one. `seen` counts on the way."""
+    if seen is not None:
+        df = seen.before(df, rules(df))
+    kept = dedup(valid_trips(df), TRIP_KEY, order=survivor_order(df))
+    return kept if seen is None else seen.after(kept)
+
+
+def valid_trips(df: DataFrame) -> DataFrame:
+    return clean.apply_rules(clean.impute(df, DEFAULTS), rules(df))
+
+
+def survivor_order(df: DataFrame) -> list[str]:
+    """Of trips with one key, which stays: the earliest ingest month's, then by all other columns."""
     lineage = [c for c in LINEAGE if c in df.columns]
-    rest = [c for c in df.columns if c not in TRIP_KEY and c not in lineage]
-    return dedup(valid, TRIP_KEY, order=lineage + rest)
+    return lineage + [c for c in df.columns if c not in TRIP_KEY and c not in lineage]
+
+
+def clean_months(df: DataFrame) -> DataFrame:
+    """Conformed trips of any number of ingest months -> what cleaning each month by itself keeps, in one job.
+
+    A month's cleaning looks at its own rows and at the days that a neighbour shares with it. So a valid row goes
+    to its own month and to a neighbour that it reaches, and the first row of each (month, key) decides; it is
+    kept if it is that month's own.
+    """
+    ingested, day = F.make_date(YEAR, MONTH, F.lit(1)), F.to_date(PICKUP)
+    after = F.add_months(ingested, 1)
+    reached = F.array_compact(
+        F.array(
+            ingested,
+            F.when(day.between(F.date_sub(ingested, 1), ingested), F.add_months(ingested, -1)),
+            F.when(day.between(F.date_sub(after, 1), after), after),
+        )
+    )
+    sent = valid_trips(df).withColumn(_FOR, F.explode(reached))
+    first = dedup(sent, [*TRIP_KEY, _FOR], order=survivor_order(df))
+    return first.where(F.col(_FOR) == ingested).drop(_FOR)
 
 
 def month_span(year: int, month: int | None = None) -> tuple[dt.date, dt.date]:
@@ -174,6 +207,6 @@ def add_zones(df: DataFrame, zones: DataFrame) -> DataFrame:
     return enrich(df, zones, "LocationID", ZONE_ROLES)
 
 
-def to_silver(df: DataFrame, zones: DataFrame) -> DataFrame:
+def to_silver(df: DataFrame, zones: DataFrame, seen: Cleaning | None = None) -> DataFrame:
     """Conformed trips -> silver rows."""
-    return add_zones(add_derived(clean_trips(df)), zones)
+    return add_zones(add_derived(clean_trips(df, seen)), zones)

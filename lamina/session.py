@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import logging
 import math
 import os
+import tempfile
+import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
@@ -69,6 +72,31 @@ def get_spark(app_name: str, conf: Mapping[str, str] | None = None) -> SparkSess
     return spark
 
 
+@contextmanager
+def job(name: str) -> Iterator[SparkSession]:
+    """The session of a command, which ends with it; progress goes to the log."""
+    logging.basicConfig(level=logging.INFO)
+    spark = get_spark(name)
+    try:
+        yield spark
+    finally:
+        spark.stop()
+
+
+def working_folder(spark: SparkSession) -> str:
+    """A new folder for intermediate tables, below the one that the cluster's machines share.
+
+    That is spark.checkpoint.dir; only a session that runs in this process alone may do without.
+    """
+    shared = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        shared = tempfile.mkdtemp(prefix="lamina-")
+        spark.sparkContext.setCheckpointDir(shared)
+    return f"{shared.rstrip('/')}/lamina-{uuid.uuid4().hex}"
+
+
 @contextmanager
 def shuffle_sized_for(spark: SparkSession, input_bytes: int) -> Iterator[int]:
     """The shuffle width for a stage with so much input, while it runs, unless somebody chose one.

@@ -4,19 +4,17 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lamina.operators.conform import MONTH, YEAR, conform
+from lamina.operators.conform import MONTH, YEAR, conform, quoted, resolve
 from lamina.sources import storage
 
 INGEST_LEVELS = (YEAR, MONTH)
-# Partitions whose schemas are looked up side by side.
-SCHEMAS_AT_ONCE = 8
+CORRUPT_LINE = "_corrupt_line"
 
 
 def profile(spark: SparkSession, path: str) -> DataFrame:
@@ -26,12 +24,13 @@ def profile(spark: SparkSession, path: str) -> DataFrame:
     of all files together.
     """
     df = read_united(spark, path)
-    listed = storage.files_below(spark, path)
+    with storage.listing(spark):
+        listed = storage.file_table(spark, path).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
     return rows_of(df).select(
         "row_count",
         F.lit(len(df.columns)).alias("column_count"),
-        F.lit(len(listed)).cast("long").alias("file_count"),
-        F.round(F.lit(sum(size for _, size, _ in listed)) / F.lit(1e6), 2).alias("size_mb"),
+        F.lit(listed["n"]).cast("long").alias("file_count"),
+        F.round(F.lit(listed["bytes"]) / F.lit(1e6), 2).alias("size_mb"),
     )
 
 
@@ -70,27 +69,69 @@ def read_conformed(
     only: Mapping[str, int | None] | None = None,
     mode: str = "lenient",
 ) -> DataFrame:
-    """A partitioned layer whose files may differ in schema from one partition to the next.
+    """A partitioned layer whose files may differ in schema.
 
-    Spark reads one scan with one schema, and a column that is `bigint` in one month and
-    `double` in another fails it. So each partition's schema is looked up (all its files together,
-    several partitions at once), the partitions that agree are read in one scan, each scan is
-    conformed, and the results are united. Without drift that is a single scan. `only` limits the
-    directories listed.
+    Spark reads one scan with one schema, and a column that is `bigint` in one file and `double` in another
+    fails it. So files that agree are read in one scan, each scan is conformed, and the results are
+    united; see `by_schema`. Without drift that is a single scan. `only` limits the directories listed.
     """
     directories = storage.matching(spark, partition_glob(root, levels, only))
     if not directories:
         raise FileNotFoundError(f"no partition {dict(only or {})} under {root}")
     reader = spark.read.option("basePath", root)
-    by_schema: dict[str, tuple[T.StructType, list[str]]] = {}
-    with ThreadPoolExecutor(SCHEMAS_AT_ONCE) as pool:
-        found = pool.map(lambda d: spark.read.option("basePath", root).option("mergeSchema", True).parquet(d).schema, directories)
-        for directory, known in zip(directories, found):
-            by_schema.setdefault(known.json(), (known, []))[1].append(directory)
-    scans = [conform(reader.schema(known).parquet(*group), schema, keep, mode) for known, group in by_schema.values()]
+    scans = [conform(reader.schema(known).parquet(*group), schema, keep, mode) for known, group in by_schema(spark, root, directories)]
     return reduce(DataFrame.unionByName, scans)
 
 
+def by_schema(spark: SparkSession, root: str, directories: Sequence[str]) -> list[tuple[T.StructType, list[str]]]:
+    """(schema, paths) of parquet directories: paths whose files have that schema's types, or lack columns.
+
+    One Spark job reads the footers of all files together, which is all there is to do where they agree. Where
+    a column has two types, the files are put in the order in which they were written, as drift is, and
+    halved until each part agrees; parts that agree with each other are put together again. So k changes
+    of a type among n files cost some k * log2(n) jobs, wherever in a partition they are.
+    """
+    if (found := _schema_of(spark, root, directories)) is not None:
+        return [(found, list(directories))]
+    found = spark.read.format("binaryFile").load([f"{d}/*" for d in directories]).select("path", "modificationTime")
+    with storage.listing(spark):
+        paths = [r["path"] for r in found.orderBy("modificationTime", "path").collect()]
+    groups: list[tuple[T.StructType, list[str]]] = []
+    for known, part in _halved(spark, root, paths):
+        for i, (other, held) in enumerate(groups):
+            if (both := _merged(other, known)) is not None:
+                groups[i] = (both, held + part)
+                break
+        else:
+            groups.append((known, part))
+    return groups
+
+
+def _schema_of(spark: SparkSession, root: str, paths: Sequence[str]) -> T.StructType | None:
+    """The columns of all files together; None if they give a column two types."""
+    try:
+        return spark.read.option("basePath", root).option("mergeSchema", True).parquet(*paths).schema
+    except Exception as raised:  # Spark gives this one as whatever its driver or a task raised
+        if "CANNOT_MERGE" not in str(raised):
+            raise
+        return None
+
+
+def _halved(spark: SparkSession, root: str, paths: list[str]) -> list[tuple[T.StructType, list[str]]]:
+    if (found := _schema_of(spark, root, paths)) is not None:
+        return [(found, paths)]
+    half = len(paths) // 2
+    return _halved(spark, root, paths[:half]) + _halved(spark, root, paths[half:])
+
+
+def _merged(a: T.StructType, b: T.StructType) -> T.StructType | None:
+    """The columns of both, if those that both have are of one type."""
+    types = {f.name.lower(): f.dataType for f in a.fields}
+    if any(types.get(f.name.lower(), f.dataType) != f.dataType for f in b.fields):
+        return None
+    return T.StructType(a.fields + [f for f in b.fields if f.name.lower() not in types])
+
+
 def partition_glob(root: str, levels: Sequence[str], only: Mapping[str, int | None] | None = None) -> str:
     """Glob of the partition directories with the given values; other values are free."""
     values = {level: (only or {}).get(level) for level in levels}
@@ -124,20 +165,57 @@ def layout_audit(spark: SparkSession, root: str, levels: Sequence[str] = INGEST_
     """(in_layout, files, rows) of all data files below a directory, and the rows of the parquet ones.
 
     A file that is not at `level=value/.../file` is skipped by a partitioned read of the root, or makes it
-    fail; here every file is looked up, whatever its place and name. Files come from one listing, rows
-    from footers.
+    fail; here every file is looked up, whatever its place and name. Files come from Spark's listing, rows
+    from footers, and both are counted by tasks.
     """
-    place = re.compile("".join(f"{re.escape(level)}=[^/]+/" for level in levels) + "[^/]+")
-    inside = [bool(place.fullmatch(name)) for name, _, _ in storage.files_below(spark, root)]
+    place = "^" + "/".join(f"{re.escape(level)}=[^/]+" for level in levels)
     parquet = spark.read.schema(T.StructType()).option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").parquet(root)
     path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    above = storage.qualified(spark, root)
+    above = storage.without_scheme(spark, root)
     below = F.substring(path, F.instr(path, F.lit(above)) + F.lit(len(above) + 1), F.length(path))
-    rows = {r.inside: r.n for r in parquet.groupBy(below.rlike(f"^{place.pattern}$").alias("inside")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    found = [(side, inside.count(side), rows.get(side, 0)) for side in (False, True) if side in inside]
+    inside = below.rlike(f"{place}/[^/]+$").alias("inside")
+    rows = {r.inside: r.n for r in parquet.groupBy(inside).agg(F.count(F.lit(1)).alias("n")).collect()}
+    with storage.listing(spark):
+        listed = storage.file_table(spark, root).groupBy(F.col("directory").rlike(f"{place}$").alias("inside")).count().collect()
+    found = [(r["inside"], r["count"], rows.get(r["inside"], 0)) for r in listed]
     return spark.createDataFrame(found, "in_layout boolean, files long, rows long")
 
 
-def read_csv_table(spark: SparkSession, path: str, schema: T.StructType, mode: str = "lenient") -> DataFrame:
-    """The schema's columns of a CSV file with a header, found by name; no type inference pass."""
-    return conform(spark.read.option("header", True).csv(path), schema, mode=mode)
+def read_csv_table(spark: SparkSession, path: str, schema: T.StructType, mode: str = "lenient", columns: Sequence[str] | None = None) -> DataFrame:
+    """The schema's columns of a CSV file, found by name; no type inference pass.
+
+    Names come from the header, or from `columns` for files without one. A line with too few or too many fields is left
+    out (`lenient`; see `csv_lines` for these) or raises (`strict`), and so does a value that does not fit its type.
+    """
+    lines = csv_lines(spark, path, columns)
+    if mode == "lenient":
+        lines = lines.where(F.col(CORRUPT_LINE).isNull())
+    else:
+        broken = F.concat(F.lit(f"broken line in {path}: "), F.col(CORRUPT_LINE))
+        lines = lines.withColumn(CORRUPT_LINE, F.when(F.col(CORRUPT_LINE).isNotNull(), F.raise_error(broken)))
+        lines = lines.where(F.col(CORRUPT_LINE).isNull())
+    return conform(lines, schema, mode=mode)
+
+
+def csv_lines(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """The lines of CSV files as text columns, with CORRUPT_LINE: the whole of a line whose fields are not as many as the columns."""
+    header = columns is None
+    names = spark.read.option("header", True).csv(path).columns if header else list(columns)
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in [*names, CORRUPT_LINE]])
+    # Unpruned, as a parser that skips fields does not see that some are missing.
+    options = {"header": header, "enforceSchema": not header, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_LINE, "columnPruning": False}
+    lines = spark.read.schema(schema).options(**options).csv(path)
+    # Read with a field beside it, as Spark refuses to parse for the corrupt lines alone.
+    corrupt = F.when(F.col(CORRUPT_LINE).isNotNull(), F.coalesce(F.col(CORRUPT_LINE), quoted(names[0])))
+    return lines.withColumn(CORRUPT_LINE, corrupt)
+
+
+def csv_report(spark: SparkSession, path: str, schema: T.StructType, columns: Sequence[str] | None = None) -> DataFrame:
+    """One row: lines, broken (with too few or too many fields), and of the others unfit_<column>: values that do not fit."""
+    lines = csv_lines(spark, path, columns)
+    there = {f.name: resolve(lines, f.name) for f in schema.fields if resolve(lines, f.name)}
+    texts = {f"_text_{name}": quoted(actual) for name, actual in there.items()}
+    fitted = conform(lines.withColumns(texts), schema, [CORRUPT_LINE, *texts])
+    whole = F.col(CORRUPT_LINE).isNull()
+    unfit = [F.count_if(whole & quoted(f"_text_{n}").isNotNull() & quoted(n).isNull()).alias(f"unfit_{n}") for n in there]
+    return fitted.agg(F.count(F.lit(1)).alias("lines"), F.count_if(~whole).alias("broken"), *unfit)

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import os
-import re
-from collections.abc import Mapping, Sequence
+import uuid
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from lamina.sources import storage
 from lamina.sources.files import partition_glob
@@ -32,52 +33,78 @@ def replace_partitions(
     within: Mapping[str, object] | None = None,
     also: Sequence[Mapping[str, object]] = (),
 ) -> int:
-    """Write a partitioned parquet layer, replacing only the slice it belongs to; gives that slice's rows.
-
-    The write is staged and committed with dynamic overwrite, so readers see the old
-    partitions until the job succeeds. Dynamic overwrite alone would leave a partition that
-    the new data no longer has: with `within` (values of leading partition columns; None
-    for any value) such leftovers of the slice are dropped after the commit, and so are those of
-    the slices in `also`. No rows for the slice raises: an error if it held any, or held none before.
-    What was there is found by one listing before and one after.
+    """Write a partitioned parquet layer, replacing only the slices it belongs to; gives the first slice's rows.
+
+    `within` gives the values of leading partition columns, None for any value: the slice is every directory at
+    that depth, and those of it that the new data no longer has are dropped. `also` names further slices. Without
+    `within`, each partition that the data has is replaced by itself.
+
+    The rows are written beside the layer, under a name that readers skip, and each directory of a slice
+    is published whole: the old one is renamed away, the new one into its place. So a reader never sees
+    old and new partitions of one directory together, and until the write has succeeded sees the old ones only. If
+    the driver is lost between the two renames, the directory is missing until the job is run again. Nothing is published for
+    a slice without rows: that raises, whether it held any or not. Only directories are listed, and only of the slices.
     """
-    spark = df.sparkSession
-    slices = [partition_name(list(w), w) for w in ([within] if within is not None else []) + list(also)]
-    depth = len(by)
-
-    def files_of(listed) -> dict[str, set]:
-        found: dict[str, set] = {}
-        for name, _, changed in listed:
-            parts = name.split("/")
-            if len(parts) == depth + 1 and (not slices or any(s.fullmatch("/".join(parts[:-1])) for s in slices)):
-                found.setdefault("/".join(parts[:-1]), set()).add((parts[-1], changed))
-        return found
-
-    before = files_of(storage.files_below(spark, path))
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
-    after = files_of(storage.files_below(spark, path))
-    # A written partition has new files only; where all are old, nothing was written.
-    untouched = [d for d in after if after[d] == before.get(d)]
-    own = [d for d in after if not slices or within is None or slices[0].fullmatch(d)]
-    if all(d in untouched for d in own):
-        raise EmptyLayerError(f"no rows for {dict(within or {})} of {path}; its partitions left as they were")
-    if slices:
-        for directory in untouched:
-            storage.remove(spark, f"{path.rstrip('/')}/{directory}")
-    chosen = path if within is None else partition_glob(path, list(within), within)
-    return spark.read.option("basePath", path).parquet(chosen).count()
-
-
-def partition_name(levels: Sequence[str], values: Mapping[str, object]) -> re.Pattern:
-    """Matches the directories, below the root, of partitions with the given leading values; None is any."""
-    parts = [re.escape(k) + "=" + ("[^/]+" if values[k] is None else re.escape(str(values[k]))) for k in levels]
-    return re.compile("/".join(parts) + "(/.*)?")
+    spark, root = df.sparkSession, path.rstrip("/")
+    slices = [dict.fromkeys(by) if within is None else dict(within), *map(dict, also)]
+    with staged(spark, root) as stage:
+        df.write.partitionBy(*by).parquet(stage)
+        fresh = [below(spark, stage, values) for values in slices]
+        if not fresh[0]:
+            raise EmptyLayerError(f"no rows for {dict(within or {})} of {path}; its partitions left as they were")
+        written = spark.read.option("basePath", stage).parquet(partition_glob(stage, list(slices[0]), slices[0])).count()
+        held = [below(spark, root, values) if within is not None else [] for values in slices]
+        units = {unit for found in [*fresh, *held] for unit in found}
+        for unit in sorted(units):
+            publish(spark, stage, root, unit)
+        for unit in below(spark, stage, dict.fromkeys(by)):
+            publish(spark, stage, root, unit)
+    return written
 
 
 def overwrite_table(df: DataFrame, path: str) -> int:
-    """Overwrite an unpartitioned parquet table; gives its rows, from the footers."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path).count()
+    """Overwrite an unpartitioned parquet table; gives its rows, from the footers.
+
+    It is written beside the old one and published whole, as a partition is.
+    """
+    spark = df.sparkSession
+    parent, _, name = path.rstrip("/").rpartition("/")
+    with staged(spark, parent) as stage:
+        df.write.parquet(f"{stage}/{name}")
+        rows = spark.read.schema(df.schema).parquet(f"{stage}/{name}").count()
+        publish(spark, stage, parent, name)
+    return rows
+
+
+@contextmanager
+def staged(spark: SparkSession, root: str) -> Iterator[str]:
+    """A directory of a writer's own beside what it replaces, on the same file system; gone afterwards."""
+    stage = f"{root}/_staged-{uuid.uuid4().hex}"
+    try:
+        yield stage
+    finally:
+        storage.remove(spark, stage)
+
+
+def below(spark: SparkSession, root: str, values: Mapping[str, object]) -> list[str]:
+    """The partition directories with the given leading values, as paths below the root."""
+    found = storage.matching(spark, partition_glob(root, list(values), values))
+    return ["/".join(directory.split("/")[-len(values) :]) for directory in found]
+
+
+def publish(spark: SparkSession, stage: str, root: str, unit: str) -> None:
+    """Puts a staged directory in the place of the one that is there; only takes that away if none is staged."""
+    fresh, target, aside = f"{stage}/{unit}", f"{root}/{unit}", f"{stage}/_replaced/{unit}"
+    replaced, staged_ = storage.exists(spark, target), storage.exists(spark, fresh)
+    if replaced:
+        storage.move(spark, target, aside)
+    try:
+        if staged_:
+            storage.move(spark, fresh, target)
+    except Exception:
+        if replaced:
+            storage.move(spark, aside, target)
+        raise
 
 
 def jdbc_options(dbtable: str, environ: Mapping[str, str] | None = None) -> dict[str, str]:

@@ -62,7 +62,7 @@ def main() -> int:
     from lamina.session import get_spark
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = get_spark("oracle", {"spark.master": "local[8]", "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"})
+    spark = get_spark("oracle", {"spark.master": "local[8]", "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     connection, failed = connect(sf_dir), 0
     for name in sys.argv[2:] or entry.queries():

@@ -6,7 +6,8 @@ import shutil
 import pytest
 from pyspark.sql import functions as F
 
-from lamina.operators.quality import DataQualityError
+from lamina import session
+from lamina.operators.quality import DataQualityError, verdicts
 from lamina.plans import bronze, check, count_rows, gold, pipeline, silver, suites, trips
 from lamina.sources import files, sinks, storage
 from tests.conftest import GOOD_TRIP, trip
@@ -90,7 +91,9 @@ def test_missing_and_empty_input(layers, spark):
 def test_transform_writes_silver(layers, spark):
     layers.ingest(5, on(1), on(1), on(2, fare_amount=-5.0), on(3, passenger_count=None, DOLocationID=9))
     meta = layers.transform(2026, 5)
-    assert meta == dict(bronze_rows=4, silver_rows=2, rows_dropped=2, retention_pct=50.0)
+    failed = meta.pop("failed")
+    assert meta == dict(bronze_rows=4, silver_rows=2, rows_dropped=2, retention_pct=50.0, invalid=1, duplicates=1)
+    assert {k: v for k, v in failed.items() if v} == {"range(fare_amount)": 1} and len(failed) == 6
     df = spark.read.parquet(layers.silver)
     rows = {r["pickup_date"]: r for r in df.collect()}
     assert rows[dt.date(2026, 5, 1)]["pickup_borough"] == "Manhattan"
@@ -221,7 +224,9 @@ def test_layout_audit_and_strays(layers, spark, caplog):
     month = f"{layers.bronze}/_ingest_year=2026/_ingest_month=5"
     spark.createDataFrame([(1,)], "a int").coalesce(1).write.parquet(f"{layers.bronze}/old/bronze/_ingest_year=2026/_ingest_month=4")
     for place in (f"{month}/notes.txt", f"{layers.bronze}/readme.txt", f"{month}/.hidden"):
-        open(place, "w").close()
+        with open(place, "w") as file:
+            file.write("no table")
+    open(f"{month}/nothing.parquet", "w").close()
     spark.createDataFrame([], "a int").coalesce(1).write.parquet(f"{layers.bronze}/none")
     found = {r["in_layout"]: (r["files"], r["rows"]) for r in files.layout_audit(spark, layers.bronze).collect()}
     strays = len([f for d in ("old/bronze/_ingest_year=2026/_ingest_month=4", "none") for f in os.listdir(f"{layers.bronze}/{d}") if f.endswith(".parquet")])
@@ -374,15 +379,16 @@ def month_of_trips(rows=60):
 
 
 def test_whole_chain_and_its_commands(layers, spark, monkeypatch, capsys, caplog):
-    for module in (bronze, silver, gold, check, count_rows, pipeline):
-        monkeypatch.setattr(module, "get_spark", lambda _name: KeepOpen(spark))
+    monkeypatch.setattr(session, "get_spark", lambda _name: KeepOpen(spark))
     path = layers.raw("month", *month_of_trips())
     dirs = ["--bronze-dir", layers.bronze, "--silver-dir", layers.silver, "--gold-dir", layers.gold, "--zones", layers.zones]
     with caplog.at_level("INFO"):
         pipeline.main(["--year", "2026", "--month", "5", "--input", path, "--no-postgres", *dirs])
-    text = [r.getMessage() for r in caplog.records if r.getMessage().startswith("pipeline complete")][0]
+    text = [r.getMessage() for r in caplog.records if r.getMessage().startswith("all layers of 2026-05")][0]
     result = json.loads(text.split("\n", 1)[1])
-    assert result["silver"] == dict(bronze_rows=62, silver_rows=60, rows_dropped=2, retention_pct=96.77)
+    told = {k: v for k, v in result["silver"].items() if k != "failed"}
+    assert told == dict(bronze_rows=62, silver_rows=60, rows_dropped=2, retention_pct=96.77, invalid=2, duplicates=0)
+    assert {k: v for k, v in result["silver"]["failed"].items() if v} == {"range(fare_amount)": 1, "range(trip_distance)": 1}
     assert result["gold"]["silver_rows"] == 60
 
     bronze.main(["--year", "2026", "--month", "5", "--input", path, "--bronze-dir", layers.bronze])
@@ -417,13 +423,11 @@ def test_a_second_month_reads_only_its_own_silver(layers, spark):
     layers.ingest(4, *TWO_MONTHS[4])
     layers.transform(2026, 4)
     gold.aggregate(spark, layers.silver, layers.gold, write_database=False)
-    rolled = gold.rollup_dir(layers.gold)
-    assert gold.stale_silver(spark, layers.silver, rolled) is None
+    assert gold.stale_partitions(spark, layers.silver, layers.gold)[:2] == ([], [])
     layers.ingest(5, *TWO_MONTHS[5])
     layers.transform(2026, 5)
-    stale = gold.stale_silver(spark, layers.silver, rolled)
-    assert {r[0] for r in stale.select("_ingest_month").distinct().collect()} == {5}
-    assert "_ingest_month=4" not in "".join(stale.inputFiles()) and "_ingest_month=5" in "".join(stale.inputFiles())
+    stale, gone, _ = gold.stale_partitions(spark, layers.silver, layers.gold)
+    assert len(stale) == 3 and not gone and all(d.startswith("_ingest_year=2026/_ingest_month=5/") for d in stale)
     meta = gold.aggregate(spark, layers.silver, layers.gold, write_database=False)
     silver_df = spark.read.parquet(layers.silver)
     assert meta["silver_rows"] == silver_df.count() == 7
@@ -445,8 +449,6 @@ def test_run_metrics_is_a_table(spark):
 
 
 def test_the_shuffle_width_follows_each_stage(layers, spark, monkeypatch):
-    from lamina import session
-
     with session.shuffle_sized_for(spark, 10**15) as width:
         assert width == 4  # the tests' session was given one
     monkeypatch.setattr(session, "_given", lambda *_: False)
@@ -468,3 +470,220 @@ def test_the_shuffle_width_follows_each_stage(layers, spark, monkeypatch):
     finally:
         spark.conf.set(key, before)
     assert seen == [7, 75, spark.sparkContext.defaultParallelism]
+
+
+def days_held(spark, root):
+    """(month, day) -> what the rows there say, as a reader finds it now."""
+    try:
+        rows = spark.read.parquet(root).select("_ingest_month", "pickup_date", "v").distinct().collect()
+    except Exception:
+        return None
+    return {(r[0], r[1]): r[2] for r in rows}
+
+
+def layer_of(spark, month_days, v):
+    return spark.createDataFrame([(2026, m, d, v) for m, d in month_days], "_ingest_year int, _ingest_month int, pickup_date int, v string")
+
+
+def test_a_reader_never_sees_old_and_new_days_of_a_month(spark, tmp_path, monkeypatch):
+    root, by, seen = str(tmp_path / "layer"), ("_ingest_year", "_ingest_month", "pickup_date"), []
+    old = [(5, d) for d in range(1, 6)] + [(6, 1), (6, 2)]
+    sinks.replace_partitions(layer_of(spark, old, "old"), root, by, {"_ingest_year": None})
+    move = storage.move
+
+    def watched(*args):
+        seen.append(days_held(spark, root))
+        move(*args)
+        seen.append(days_held(spark, root))
+
+    monkeypatch.setattr(storage, "move", watched)
+    new = [(5, d) for d in range(3, 9)] + [(6, 1)]
+    within = {"_ingest_year": 2026, "_ingest_month": 5}
+    rows = sinks.replace_partitions(layer_of(spark, new, "new"), root, by, within, also=[{**within, "_ingest_month": 6, "pickup_date": 1}])
+    assert rows == 6 and len(seen) == 8
+    for state in seen:
+        assert {v for (m, _), v in state.items() if m == 5} in ({"old"}, {"new"}, set())
+    assert days_held(spark, root) == {**{(5, d): "new" for d in range(3, 9)}, (6, 1): "new", (6, 2): "old"}
+    assert [p for p in os.listdir(root) if p.startswith("_staged")] == []
+
+
+def test_a_failed_rename_brings_the_old_month_back(spark, tmp_path, monkeypatch):
+    root, by, within = str(tmp_path / "layer"), ("_ingest_year", "_ingest_month", "pickup_date"), {"_ingest_year": 2026, "_ingest_month": 5}
+    sinks.replace_partitions(layer_of(spark, [(5, 1)], "old"), root, by, within)
+    move, moves = storage.move, []
+
+    def failing(session, source, target):
+        moves.append(source)
+        if len(moves) == 2:
+            raise OSError("no")
+        move(session, source, target)
+
+    monkeypatch.setattr(storage, "move", failing)
+    with pytest.raises(OSError):
+        sinks.replace_partitions(layer_of(spark, [(5, 2)], "new"), root, by, within)
+    assert days_held(spark, root) == {(5, 1): "old"}
+
+
+def test_a_failed_write_publishes_nothing(spark, tmp_path):
+    root, by, within = str(tmp_path / "layer"), ("_ingest_year", "_ingest_month", "pickup_date"), {"_ingest_year": 2026, "_ingest_month": 5}
+    sinks.replace_partitions(layer_of(spark, [(5, 1)], "old"), root, by, within)
+    broken = layer_of(spark, [(5, 2)], "new").withColumn("v", F.raise_error(F.lit("no")))
+    with pytest.raises(Exception, match="no"):
+        sinks.replace_partitions(broken, root, by, within)
+    assert days_held(spark, root) == {(5, 1): "old"} and os.listdir(root) == ["_ingest_year=2026"]
+
+
+def calls_of(spark, action):
+    """How often the driver's Python asks the JVM while the action runs."""
+    client, n = spark.sparkContext._gateway._gateway_client, [0]
+    send = client.send_command
+
+    def counted(command, *args, **kwargs):
+        n[0] += not command.startswith("m\n")  # but for objects let go, whenever that is
+        return send(command, *args, **kwargs)
+
+    client.send_command = counted
+    try:
+        action()
+    finally:
+        client.send_command = send
+    return n[0]
+
+
+def test_listing_makes_no_call_for_a_file(spark, tmp_path):
+    roots = {}
+    for n in (3, 300):
+        roots[n] = tmp_path / f"files{n}"
+        month = roots[n] / "_ingest_year=2026" / "_ingest_month=5"
+        month.mkdir(parents=True)
+        for i in range(n):
+            (month / f"f{i}.parquet").write_text("x")
+
+    def audit(root):
+        with storage.listing(spark):
+            rows = storage.file_table(spark, root).groupBy("directory").agg(F.count("*"), F.sum("bytes")).collect()
+        assert [r[0] for r in rows] == ["_ingest_year=2026/_ingest_month=5"]
+        storage.matching(spark, f"{root}/*/*/*")
+        gold.partition_files(spark, root)
+
+    few, many = (calls_of(spark, lambda n=n: audit(str(roots[n]))) for n in (3, 300))
+    assert abs(many - few) <= 5 < few
+    assert len(storage.matching(spark, f"{roots[300]}/*/*/*")) == 300
+
+
+def test_files_by_directory(spark, tmp_path):
+    for name in ("a=1/x.parquet", "a=1/_SUCCESS", "a=1/.x.crc", "_tmp/y.parquet", "_k=2/z e%é.parquet", "top.parquet"):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text("abc")
+    found = sorted((r["directory"], r["name"], r["bytes"]) for r in storage.file_table(spark, str(tmp_path)).collect())
+    assert found == [("", "top.parquet", 3), ("_k=2", "z e%é.parquet", 3), ("a=1", "x.parquet", 3)]
+    assert [(r["directory"], r["name"]) for r in storage.file_table(spark, str(tmp_path / "top.parquet")).collect()] == [("", "top.parquet")]
+    assert storage.file_table(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_a_rollup_of_another_definition_is_made_again(layers, spark, monkeypatch):
+    layers.ingest(5, *TWO_MONTHS[5])
+    layers.transform(2026, 5)
+    gold.aggregate(spark, layers.silver, layers.gold, write_database=False)
+    assert gold.stale_partitions(spark, layers.silver, layers.gold)[:2] == ([], [])
+    fares = trips.Summary("gold_max", ("pickup_date",), (trips.total("total_tolls", "tolls_amount", 100),))
+    coarser = [
+        trips.Summary(t.name, t.by, tuple(m if m.per != 10_000 else type(m)(m.name, m.kind, m.column, 100, m.places) for m in t.metrics), t.label, t.ordered)
+        for t in trips.GOLD
+    ]
+    for changed in ((*trips.GOLD, fares), tuple(coarser)):
+        monkeypatch.setattr(trips, "GOLD", changed)
+        assert len(gold.stale_partitions(spark, layers.silver, layers.gold)[0]) == 3
+        meta = gold.aggregate(spark, layers.silver, layers.gold, write_database=False)
+        assert meta["silver_rows"] == 5 and len(meta["gold_table_rows"]) == len(changed)
+        silver_df = spark.read.parquet(layers.silver)
+        for table in changed:
+            written = spark.read.parquet(f"{layers.gold}/{table.name}").collect()
+            assert sorted(map(str, written)) == sorted(map(str, gold.summarize(silver_df, table).collect()))
+
+
+def test_gold_forgets_what_silver_lost(layers, spark):
+    layers.ingest(5, on(1), on(2))
+    layers.transform(2026, 5)
+    gold.aggregate(spark, layers.silver, layers.gold, write_database=False)
+    shutil.rmtree(f"{layers.silver}/_ingest_year=2026/_ingest_month=5/pickup_date=2026-05-02")
+    assert gold.aggregate(spark, layers.silver, layers.gold, write_database=False)["silver_rows"] == 1
+    assert gold.stale_partitions(spark, layers.silver, layers.gold)[:2] == ([], [])
+
+
+def test_drops_are_counted_by_the_writing_pass(layers, spark, caplog):
+    layers.ingest(4, on(30, 4), on(30, 4, fare_amount=-1.0), on(1, 5, hour=3))
+    layers.ingest(5, on(1), on(1), on(30, 4), on(2, fare_amount=None), on(3, fare_amount=-5.0, trip_distance=0.0))
+    layers.transform(2026, 4)
+    found = layers.transform(2026, 5)
+    assert (found["bronze_rows"], found["invalid"], found["duplicates"], found["silver_rows"]) == (5, 2, 2, 1)
+    assert {k: v for k, v in found["failed"].items() if v} == {"required": 1, "range(fare_amount)": 2, "range(trip_distance)": 1}
+    whole = layers.transform()
+    assert (whole["bronze_rows"], whole["invalid"], whole["duplicates"], whole["silver_rows"]) == (8, 3, 2, 3)
+
+
+def test_counts_of_a_stage_that_ran_twice_are_not_believed(layers, monkeypatch, caplog):
+    layers.ingest(5, on(1), on(1), on(2, fare_amount=-5.0))
+    right = layers.transform(2026, 5)
+    monkeypatch.setattr(silver.Cleaning, "agrees", lambda *_: False)
+    with caplog.at_level("WARNING"):
+        assert layers.transform(2026, 5) == right
+    assert "counting anew" in caplog.text and right["duplicates"] == 1
+
+
+def test_both_types_in_one_partition(layers, spark):
+    layers.ingest(4, on(2, 4))
+    layers.ingest(5, on(1))
+    month = f"{layers.bronze}/_ingest_year=2026/_ingest_month=5"
+    drifted = RAW_DDL.replace("passenger_count double", "passenger_count string").replace("VendorID int", "VendorID bigint")
+    row = tuple({**RAW, "passenger_count": "7"}[k] for k in RAW)
+    spark.createDataFrame([row], drifted).coalesce(1).write.mode("append").parquet(month)
+    df = files.read_conformed(spark, layers.bronze, trips.CONTRACT, trips.LINEAGE)
+    assert sorted((r["_ingest_month"], r["passenger_count"]) for r in df.collect()) == [(4, 2), (5, 2), (5, 7)]
+    found = files.by_schema(spark, layers.bronze, [month, month.replace("month=5", "month=4")])
+    assert sorted(len(paths) for _, paths in found) == [1, 2]
+
+
+def test_many_partitions_need_one_look_at_their_schemas(spark, tmp_path, monkeypatch):
+    root, looks = str(tmp_path / "layer"), []
+    spark.range(60).selectExpr("id", "2026 AS _ingest_year", "CAST(id % 30 AS int) AS _ingest_month").write.partitionBy("_ingest_year", "_ingest_month").parquet(root)
+    look = files._schema_of
+    monkeypatch.setattr(files, "_schema_of", lambda *a: (looks.append(a), look(*a))[1])
+    assert files.read_conformed(spark, root, spark.range(1).schema).count() == 60 and len(looks) == 1
+
+
+CSV_DDL = "id int, name string, price double"
+
+
+def test_csv_with_broken_lines(spark, tmp_path):
+    path = str(tmp_path / "t.csv")
+    (tmp_path / "t.csv").write_text('name,id,price\na,1,2.5\nb,2\n"c,d",3,x\ne,4,1,9\n,five,\n')
+    schema = spark.createDataFrame([], CSV_DDL).schema
+    rows = sorted(map(tuple, files.read_csv_table(spark, path, schema).collect()), key=str)
+    assert rows == [(1, "a", 2.5), (3, "c,d", None), (None, None, None)]
+    lines = files.csv_lines(spark, path)
+    assert sorted(r[0] for r in lines.where("_corrupt_line IS NOT NULL").select("_corrupt_line").collect()) == ["b,2", "e,4,1,9"]
+    assert files.csv_report(spark, path, schema).first().asDict() == dict(lines=5, broken=2, unfit_id=1, unfit_name=0, unfit_price=1)
+    with pytest.raises(Exception, match="broken line"):
+        files.read_csv_table(spark, path, schema, mode="strict").collect()
+    (tmp_path / "u.csv").write_text("1,a,2.5\n2,b\n")
+    found = files.read_csv_table(spark, str(tmp_path / "u.csv"), schema, columns=["id", "name", "price"])
+    assert [tuple(r) for r in found.collect()] == [(1, "a", 2.5)]
+
+
+def test_all_gates_as_one_table(layers, spark):
+    path = layers.raw("month", *month_of_trips())
+    chain = pipeline.Chain(spark, 2026, 5, path, layers.bronze, layers.silver, layers.gold, layers.zones, write_database=False)
+    results = chain.run()
+    found = chain.report(results)
+    told = {r["suite"]: r for r in verdicts(found).collect()}
+    assert len(told) == 8 and all(r["success"] for r in told.values())
+    for suite, rows in (g for _, _, gates in chain.layers for g in gates(results)):
+        assert suite.run(rows).summary().splitlines()[0] == told[suite.name]["summary"]
+
+
+def test_strict_chain_fails_on_a_bad_value(layers, spark):
+    path = layers.raw("bad", on(1, fare_amount="x"), ddl=RAW_DDL.replace("fare_amount double", "fare_amount string"))
+    chain = pipeline.Chain(spark, 2026, 5, path, layers.bronze, layers.silver, layers.gold, layers.zones, write_database=False, mode="strict")
+    with pytest.raises(Exception, match="fare_amount"):
+        chain.run(check=False)
