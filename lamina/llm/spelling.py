@@ -7,9 +7,10 @@ of two words within one edit, a pivot of the one whose prefix ends earlier in th
 Every word's pivots therefore meet all words' prefixes, and no pair is lost.
 
 Where a surviving bigram stands is limited: the edit is either behind it, and then everything up to its end is the
-same in both words, or before it, and then everything from its start is, moved by the difference in length. Pivots
-look up (side, length, position, that part of the word), so that words which merely share a bigram do not meet.
-Pairs that meet are verified by their edit distance.
+same in both words, or before it, and then everything from its start is, moved by the difference in length. The part
+in which the edit is has two halves, of which one is the same in both words. Pivots look up (length, position, what
+is the same), so that words which merely share a bigram do not meet. Pairs that meet are verified by their
+edit distance.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -93,18 +95,36 @@ def pivots_of(grams: list[tuple[int, int]]) -> tuple[int, int]:
     return chosen[1:]
 
 
-def keys_of(word: str, frequencies: list[int]) -> tuple[set, set]:
-    """What a word's pivots look up, and what its prefix is found by: (side, length, position, part)."""
+def parts_of(word: str, p: int, length: int, at: int) -> list[str]:
+    """What a word has in common with another one, of `length`, in which its bigram at `p` stands at `at`.
+
+    One text for each place where the edit can be: in the first or second half of what is behind the bigram
+    (only if that stands where it did), or of what is before it. Halves are those of the other word.
+    """
+    places = []
+    if at == p:
+        rest = length - at - 2
+        half = rest // 2
+        places += [f"<{word[: p + 2 + half]}", f"<{word[: p + 2]}>{word[len(word) - (rest - half) :]}"]
+    if len(word) - p == length - at:
+        half = at // 2
+        places += [f"{word[:half]}<{word[p:]}>", f"{word[max(p - (at - half), 0) :]}>"]
+    return [f"{length},{at},{i},{part}" for i, part in enumerate(places if at == p else ["", "", *places]) if part]
+
+
+def keys_of(word: str, frequencies: list[int]) -> tuple[set[int], set[int]]:
+    """What a word's pivots look up, and what its prefix is found by, as hashes."""
     ranks = sorted((f, word[p : p + 2]) for p, f in enumerate(frequencies))
     prefix = [(p, f) for p, f in enumerate(frequencies) if (f, word[p : p + 2]) <= ranks[2]]
     n = len(word)
-    found_by = {k for p, _ in prefix for k in (("B", n, p, word[: p + 2]), ("A", n, p, word[p:]))}
-    look_up = set()
-    for p in pivots_of(prefix):
-        for longer in (-1, 0, 1):
-            look_up.add(("B", n + longer, p, word[: p + 2]))
-            look_up.add(("A", n + longer, p + longer, word[p:]))
-    return look_up, found_by
+    found_by = {k for p, _ in prefix for k in parts_of(word, p, n, p)}
+    look_up = {k for p in pivots_of(prefix) for longer in (-1, 0, 1) for at in {p, p + longer} if at >= 0 for k in parts_of(word, p, n + longer, at)}
+    return {hashed(k) for k in look_up}, {hashed(k) for k in found_by}
+
+
+def hashed(key: str) -> int:
+    value = xxhash.xxh64_intdigest(key)
+    return value - (1 << 64) if value >> 63 else value
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
@@ -121,17 +141,18 @@ def near_pairs(words: DataFrame) -> DataFrame:
             out: list[tuple] = []
             for word, f in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 for pivot, keys in zip((True, False), keys_of(word, f)):
-                    out += [(word, pivot, f"{side}{n},{p},{part}") for side, n, p, part in keys]
+                    out += [(word, pivot, key) for key in keys]
             columns = list(zip(*out)) or [[], [], []]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.bool_()), pa.array(columns[2], pa.string())], names=["word", "pivot", "key"]
+                [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.bool_()), pa.array(columns[2], pa.int64())], names=["word", "pivot", "key"]
             )
 
-    keys = checkpointed(known.mapInArrow(run, "word string, pivot boolean, key string"))
+    keys = checkpointed(known.mapInArrow(run, "word string, pivot boolean, key long"))
     asking = keys.where("pivot").select("word", "key")
     indexed = keys.where("NOT pivot").select(F.col("word").alias("other"), "key")
-    met = asking.join(indexed, "key").where("word <> other AND levenshtein(word, other, 1) = 1").select("word", "other")
-    return met.union(met.select("other", "word")).distinct()
+    met = asking.join(indexed, "key").where("word <> other AND levenshtein(word, other, 1) = 1")
+    pairs = checkpointed(met.select(F.least("word", "other").alias("word"), F.greatest("word", "other").alias("other")).distinct())
+    return pairs.union(pairs.select("other", "word"))
 
 
 def follow(forms: DataFrame) -> DataFrame:
