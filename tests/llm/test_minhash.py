@@ -74,13 +74,36 @@ def test_components_equal_a_full_comparison(spark, make_docs, prose):
     assert 20 < sum(kept for *_, kept in result) < len(rows) - 60
 
 
-def test_tables_of_unlike_sets_are_compared_in_full(spark, make_docs, prose):
-    """One row a band brings unlike sets together: the linked pairs among them are all found."""
-    passage = prose(1, 60)
-    docs = [f"{prose(10 + i // 2, 20)} {passage} {'end' if i % 2 else 'stop'}" for i in range(60)]
-    rows = list(enumerate(docs))
-    result = minhash.near_duplicates(make_docs(rows), bands=3, rows=1)
-    assert found(result) == grouped(rows)
+def test_common_counts():
+    draw = np.random.default_rng(2)
+    for few, many in ((40, 5), (400, 60), (3, 2)):
+        sides = [[np.unique(np.r_[draw.integers(0, few, draw.integers(1, 30)), draw.integers(0, 9000, many)]) for _ in range(n)] for n in (37, 21)]
+        flat = [(np.concatenate(x), np.repeat(np.arange(len(x)), [len(s) for s in x]), len(x)) for x in sides]
+        expected = [[len(set(a) & set(b)) for b in sides[1]] for a in sides[0]]
+        assert minhash.common_counts(*flat[0], *flat[1]).tolist() == expected
+
+
+def test_a_cluster_in_several_parts(spark, make_docs, prose):
+    """Every link between components of a cluster counts, in whichever parts its ends are."""
+    base = prose(3, 150)
+    texts = [changed(base, i, (0.01, 0.03, 0.05)[i % 3]) for i in range(60)] + [prose(900, 40)]
+    rows = [(7, 5, i, i, t.encode()) for i, t in enumerate(texts)] + [(8, 1, 100, 100, b"a b c d"), (8, 1, 101, 101, b"a b c d e")]
+    members = spark.createDataFrame(rows, "cluster long, parts long, rep long, label long, text binary").repartition(3)
+    links = minhash.links_in_clusters(members, 3, 85).collect()
+    sets = [plain_set(t) for t in texts]
+    all_links = [(i, j) for i in range(61) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])]
+    assert roots(range(61), links) == roots(range(61), all_links) and len(links) < 200
+
+
+def test_similar_sets_share_a_prefix_token(spark, prose):
+    texts = [changed(prose(i % 6, 120), i, 0.02 * (i % 4)) for i in range(48)]
+    frame = spark.createDataFrame([(i, t.encode()) for i, t in enumerate(texts)], "rep long, text binary").repartition(4)
+    held: dict = {}
+    for r in minhash.prefixes(frame, 3, 85).collect():
+        held.setdefault(r.rep, set()).add(r.token)
+    sets = [plain_set(t) for t in texts]
+    near = [(i, j) for i in range(48) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])]
+    assert len(near) > 20 and all(held[i] & held[j] for i, j in near)
 
 
 def test_odd_rows(spark, make_docs):
