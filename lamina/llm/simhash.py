@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lamina.llm.common import checkpointed, components, with_text_columns
+from lamina.operators.dedup import dedup
 
 SHINGLE = 3
 RADIUS = 3
@@ -206,22 +207,35 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     is never a component's id, unless the component has no other. No rows give no rows. Only the id and text
     columns are read, so others don't matter.
     """
-    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    return grouped(docs, doc_id, text, shingle, radius).select("doc_id", "fingerprint", "component_id")
+
+
+def grouped(docs: DataFrame, doc_id: str, text: str, shingle: int, radius: int) -> DataFrame:
+    """Per row: doc_id, t (a hash of the text), fingerprint, root (one fingerprint for each component), component_id."""
+    source = F.col(f"`{text}`")
+    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(source).alias("t"), source.alias("text"))
     marked = checkpointed(with_fingerprint(rows, "text", shingle).drop("text"))
     prints = checkpointed(marked.groupBy("fingerprint").agg(F.min("doc_id").alias("least")))
     roots = components(fingerprint_links(prints.select("fingerprint"), radius)).withColumnRenamed("node", "fingerprint")
     own = prints.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
     least = own.groupBy("root").agg(F.min("least").alias("component_id"))
-    labels = own.join(least, "root").select("fingerprint", "component_id")
-    return marked.join(labels, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    labels = own.join(least, "root").select("fingerprint", "root", "component_id")
+    return marked.join(labels, "fingerprint")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The documents, of each component only the one with the smallest id.
+    """One row of each component: that with the smallest id, of such that with the smallest hash of its text.
 
-    Rows that share that id are one document: one of them stays. Rows without an id stay.
+    Rows may share an id and differ in their text: each is in its own text's component. A row without an id stays only
+    where no row of its component has one. Of rows that repeat id and text, the first by the other columns stays,
+    so that the same rows stay whenever a task is run again.
     """
-    found = near_duplicates(docs, doc_id, text, shingle, radius)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias(doc_id)).distinct()
-    chosen = docs.join(kept, doc_id, "left_semi").dropDuplicates([doc_id])
-    return chosen.union(docs.where(F.col(f"`{doc_id}`").isNull()))
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "t")
+    kept = grouped(docs, doc_id, text, shingle, radius).groupBy("root").agg(F.min(order).alias("first"))
+    given = docs.columns
+    named = docs.toDF(*[f"c{i}" for i in range(len(given))])
+    at = {c: f"c{i}" for i, c in enumerate(given)}
+    rows = named.withColumn("t", F.xxhash64(at[text]))
+    kept = kept.select(F.col("first.doc_id").alias("kept_id"), F.col("first.t").alias("kept_t"))
+    chosen = rows.join(kept, F.col(at[doc_id]).eqNullSafe(F.col("kept_id")) & (F.col("t") == F.col("kept_t")), "left_semi")
+    return dedup(chosen, [at[doc_id], "t"]).drop("t").toDF(*given)

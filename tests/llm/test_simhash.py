@@ -99,6 +99,14 @@ def test_odd_rows_and_clashing_columns(odd):
     assert {r.component_id for r in rows if r.fingerprint == 0} == {1}
     kept = simhash.keep_one(clash)
     assert kept.columns == clash.columns
-    # Of ids 1, 2, 3 (no words) the first stays, of the repeated row one, and rows without an id.
-    assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "4", "6", "7", "None", "None"]
+    # Of ids 1, 2, 3 and null (no words) the first stays, of the repeated row one, and a row without an id that is alone.
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "4", "6", "7", "None"]
     assert simhash.near_duplicates(odd.limit(0)).count() == 0
+
+
+def test_keep_one_is_by_row_and_not_by_id(spark, make_docs, prose):
+    a, b, c = prose(1), prose(2), prose(3)
+    rows = [(3, a), (7, a), (7, b), (7, b), (None, c), (None, a), (9, None), (8, "")]
+    found = simhash.keep_one(make_docs(rows).withColumn("t", F.lit("x")))
+    assert sorted(((r.doc_id, r.text) for r in found.collect()), key=repr) == sorted([(3, a), (7, b), (None, c), (8, "")], key=repr)
+    assert found.columns[-1] == "t"
