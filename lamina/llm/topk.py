@@ -75,7 +75,7 @@ def top_k(
     Vectors hold integers (see `scaled`) whose products fit 53 bits. Ties go to the smaller id; a query with
     fewer than k candidates gets all of them. Rows with a null id or vector take no part, rows repeated with
     id and vector count once, vectors shorter than the longest end in zeros, and an empty one is all zeros.
-    Rows that share an id but not the vector are candidates each, and as queries one: the first of them.
+    Rows that share an id but not the vector are candidates each, and as queries one: the smallest in the order of arrays.
 
     The pivots are `pivots` candidates (those with the smallest hashes) and decide only how much is pruned.
     """
@@ -108,21 +108,28 @@ def top_k(
                 )
 
     dealt = checkpointed(rows.mapInArrow(assign, "as_query boolean, cell long, far double, id long, v array<long>"))
-    queries = dealt.where("as_query").dropDuplicates(["id"])
+    first = F.min(F.struct("v", "cell", "far")).alias("x")
+    queries = dealt.where("as_query").groupBy("id").agg(first).select("id", "x.v", "x.cell", "x.far")
     candidates = dealt.where("NOT as_query")
 
     # Summaries: per cell a count and a radius, and its k smallest distances.
     asked = {r.cell: (r.n, r.u) for r in queries.groupBy("cell").agg(F.count("*").alias("n"), F.max("far").alias("u")).collect()}
+    # Of an id that has several vectors the nearest counts, as a query's own must not stand for others.
     nearest = Window.partitionBy("cell").orderBy("far", "id")
-    closest = candidates.withColumn("n", F.row_number().over(nearest)).where(F.col("n") <= k + 1).select("cell", "far").collect()
+    per_id = candidates.groupBy("cell", "id").agg(F.min("far").alias("far"))
+    closest = per_id.withColumn("n", F.row_number().over(nearest)).where(F.col("n") <= k + 1).select("cell", "id", "far").collect()
     held = np.array([r.cell for r in closest], np.int64)
+    held_ids = np.array([r.id for r in closest], np.int64)
     inner = np.array([r.far for r in closest])
     between = distances(centres, centres)
     slack = SLACK * (largest + 1) + 1e-6
     bounds = {}
     for cell, (_, radius) in asked.items():
-        # A query may be its own candidate, so the bound is the distance of one more than k.
-        reach = np.sort(radius + between[cell, held] + inner)
+        # A query may be its own candidate, so the bound is the distance of one id more than k.
+        reach = radius + between[cell, held] + inner
+        order = np.argsort(reach, kind="stable")
+        _, first = np.unique(held_ids[order], return_index=True)
+        reach = reach[order][np.sort(first)]
         bound = radius + (reach[k] if len(reach) > k else np.inf) + slack
         bounds[cell] = np.stack([between[cell] - bound, between[cell] + bound])
 
@@ -170,11 +177,11 @@ def top_k(
             # Exact in doubles: products and sums are whole numbers below 2**53.
             scores = (stack(list(block["w"]), width).astype(np.float64) @ x.T).astype(np.int64)
             for asked_id, score in zip(block["asked"], scores):
-                score[ids == asked_id] = np.iinfo(np.int64).min
+                others = np.flatnonzero(ids != asked_id)
+                theirs = score[others]
                 # Stable on ids in order, so ties go to the smaller one.
-                at = np.flatnonzero(score >= np.partition(score, -k)[-k]) if len(score) > k else np.arange(len(score))
-                best = at[np.argsort(-score[at], kind="stable")][:k]
-                best = best[ids[best] != asked_id]
+                at = np.flatnonzero(theirs >= np.partition(theirs, -k)[-k]) if len(theirs) > k else np.arange(len(theirs))
+                best = others[at[np.argsort(-theirs[at], kind="stable")][:k]]
                 out.append(pd.DataFrame({"query_id": asked_id, "vec_id": ids[best], "score": score[best]}))
         return pd.concat(out)
 

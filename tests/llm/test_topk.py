@@ -56,3 +56,15 @@ def test_empty_table_and_no_queries(spark):
     assert topk.top_k(vectors(spark, []), F.lit(True)).count() == 0
     assert topk.top_k(vectors(spark, [(1, [1])]), F.col("vec_id") == 2).count() == 0
     assert topk.top_k(vectors(spark, [(1, [1])]), F.lit(True)).count() == 0
+
+
+@pytest.mark.parametrize("bounds", [{}, {"pivots": 40, "candidates_per_group": 25}])
+def test_an_id_with_many_vectors_hides_no_candidate(spark, bounds):
+    rows = clustered(4, 120) + [(10 * (i % 4), [v + i for v in range(6)]) for i in range(90)] + [(10, [900 + i, 0, 0, 0, 0, 0]) for i in range(30)]
+    found = topk.top_k(vectors(spark, rows), F.col("vec_id") % 10 == 0, **bounds)
+    assert sorted(map(tuple, found.collect())) == brute(rows, 10)
+
+
+def test_a_query_with_three_vectors_gets_all_nine_others(spark):
+    rows = [(10, [9, 9]), (10, [8, 9]), (10, [7, 7])] + [(i, [i, 1]) for i in range(1, 10)]
+    assert topk.top_k(vectors(spark, rows), F.col("vec_id") == 10).count() == 9
