@@ -38,11 +38,16 @@ said AS (
   SELECT doc_id, no, line, row_number() OVER (PARTITION BY doc_id ORDER BY no) AS pos
   FROM lines WHERE regexp_matches(line, '[^ \t\n\v\f\r]')
 ), runs AS (
-  SELECT doc_id, pos, line AS a, lead(line) OVER w AS b, lead(line, 2) OVER w AS c FROM said WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
+  SELECT doc_id, pos, line AS a, lead(line) OVER w AS b, lead(line, 2) OVER w AS c, words, lead(words) OVER w AS more
+  FROM (SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words FROM said) WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
 ), later AS (
-  SELECT doc_id, pos FROM runs WHERE c IS NOT NULL QUALIFY row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, pos) > 1
+  SELECT doc_id, pos, 3 AS n FROM runs WHERE c IS NOT NULL QUALIFY row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, pos) > 1
+  UNION ALL
+  SELECT doc_id, pos, 2 FROM runs WHERE b IS NOT NULL AND words + more >= 50 QUALIFY row_number() OVER (PARTITION BY a, b ORDER BY doc_id, pos) > 1
+  UNION ALL
+  SELECT doc_id, pos, 1 FROM runs WHERE words >= 50 QUALIFY row_number() OVER (PARTITION BY a ORDER BY doc_id, pos) > 1
 ), gone AS (
-  SELECT DISTINCT doc_id, no FROM (SELECT doc_id, unnest(range(pos, pos + 3)) AS pos FROM later) JOIN said USING (doc_id, pos)
+  SELECT DISTINCT doc_id, no FROM (SELECT doc_id, unnest(range(pos, pos + n)) AS pos FROM later) JOIN said USING (doc_id, pos)
 ), kept AS (
   SELECT doc_id, string_agg(line, chr(10) ORDER BY no) AS text FROM lines ANTI JOIN gone USING (doc_id, no) GROUP BY doc_id
 ), removed AS (SELECT doc_id, count(*) AS n, string_agg(no::VARCHAR, ',' ORDER BY no) AS nos FROM gone GROUP BY doc_id)
