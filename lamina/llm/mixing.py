@@ -132,8 +132,11 @@ def mix(
     added = ("weight", "probability", "sampled")
     source = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in added])
     cells = cell_probabilities(source, dimensions, tokens, **fit)
-    named = cells.select(*[F.col(d).alias(f"__{d}") for d in dimensions], "weight", "probability")
-    same = [F.col(f"`{d}`").cast("string").eqNullSafe(F.col(f"__{d}")) for d in dimensions]
+    place = {c: f"c{i}" for i, c in enumerate(source.columns)}
+    named = cells.toDF(*[f"cell{i}" for i in range(len(dimensions))], "weight", "probability")
+    same = [F.col(place[d]).cast("string").eqNullSafe(F.col(f"cell{i}")) for i, d in enumerate(dimensions)]
     # At most `max_cells` rows.
-    joined = source.join(F.broadcast(named), same, "left").drop(*[f"__{d}" for d in dimensions])
-    return joined.withColumn("sampled", draw(F.col(f"`{doc_id}`"), seed) < F.col("probability"))
+    joined = source.toDF(*place.values()).join(F.broadcast(named), same, "left")
+    return joined.select(
+        *[F.col(p).alias(c) for c, p in place.items()], "weight", "probability", (draw(F.col(place[doc_id]), seed) < F.col("probability")).alias("sampled")
+    )

@@ -35,7 +35,7 @@ def test_stages_against_brute_force(spark, prose, tmp_path):
 
     expected = {i: t for i, t in given.items() if any(c.isalpha() for c in t or "")}
     assert found["language_id"] == expected
-    expected = {i: t for i, t in deduplicated(list(expected.items()), 3).items() if t.strip()}
+    expected = {i: t for i, t in deduplicated(list(expected.items()), 3, 50).items() if t.strip()}
     assert found["line_dedup"] == expected
     prints = {i: simhash.fingerprint(t) for i, t in expected.items()}
     linked = [(a, b) for a in prints for b in prints if ((prints[a] ^ prints[b]) & (2**64 - 1)).bit_count() <= 3]
@@ -56,3 +56,25 @@ def test_no_documents(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     assert p.run(spark, str(tmp_path)).count() == 0
+
+
+def test_the_language_gate(spark, prose):
+    """Random letters of known and unknown scripts go, short and long prose stays."""
+    import random
+
+    from corpus_pipeline import identify_language
+
+    draw = random.Random(6)
+    scripts = {"latin": (0x61, 26), "cyrillic": (0x430, 32), "greek": (0x3B1, 25), "cjk": (0x4E00, 4096)}
+    rows = [(i, prose(i, 5 + i % 200, ("en", "de", "es")[i % 3]), ("en", "de", "es")[i % 3], "s", 1) for i in range(400)]
+    for k, (first, size) in enumerate(scripts.values()):
+        for i in range(100):
+            text = "".join(chr(first + draw.randrange(size)) if draw.random() < 0.85 else " " for _ in range(60 + 10 * i))
+            rows.append((1000 * (k + 1) + i, text, None, "s", 1))
+    rows += [(9000, "Сегодня утром мы пошли на рынок и купили свежие овощи", None, "s", 1), (9001, "12345 !!", "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = [r.doc_id for r in identify_language(spark, docs, "").select("doc_id").collect()]
+    assert sum(i < 1000 for i in kept) >= 396
+    for k in range(4):
+        assert sum(1000 * (k + 1) <= i < 1000 * (k + 2) for i in kept) <= 1
+    assert not {9000, 9001} & set(kept)
