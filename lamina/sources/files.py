@@ -80,7 +80,8 @@ def read_conformed(
         raise FileNotFoundError(f"no partition {dict(only or {})} under {root}")
     reader = spark.read.option("basePath", root)
     scans = [conform(reader.schema(known).parquet(*group), schema, keep, mode) for known, group in by_schema(spark, root, directories)]
-    return reduce(DataFrame.unionByName, scans)
+    # A column of `keep` may be in some files only.
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
 def by_schema(spark: SparkSession, root: str, directories: Sequence[str]) -> list[tuple[T.StructType, list[str]]]:
