@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,6 +39,24 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def landed(df: DataFrame, folder: str) -> DataFrame:
+    """The rows cut from their lineage by a table of their own, which can be dropped when it is of no more use."""
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Within it, the shuffle files of a query go when its action ends, for work that lands each step as a table."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def drop_folder(spark: SparkSession, folder: str) -> None:
     """Deletes an intermediate table that nothing reads any more."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
