@@ -41,7 +41,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 def landed(df: DataFrame, folder: str) -> DataFrame:
     """The rows cut from their lineage by a table of their own, which can be dropped when it is of no more use."""
-    df.write.parquet(folder)
+    df.write.option("compression", "zstd").parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
