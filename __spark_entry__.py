@@ -360,7 +360,7 @@ def month_of_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 def month_chain_over(spark: SparkSession, sf_dir: str) -> tuple[pipeline.Chain, dict]:
     folder = working_folder(spark)
     # Copies of a trip in one file, so that the file's name does not decide which of them stays.
-    month_of_trips(spark, sf_dir).repartition(8, *trips.TRIP_KEY).write.parquet(f"{folder}/raw")
+    month_of_trips(spark, sf_dir).repartition(*trips.TRIP_KEY).write.parquet(f"{folder}/raw")
     zones(spark, sf_dir).coalesce(1).write.option("header", True).csv(f"{folder}/zones")
     dirs = [f"{folder}/{name}" for name in ("raw", "bronze", "silver", "gold", "zones")]
     chain = pipeline.Chain(spark, 1998, 5, *dirs, write_database=False)

@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 
 import __spark_entry__ as entry
+from lamina.plans import pipeline
 from lamina.sources import sinks
 
 
@@ -32,3 +33,18 @@ def test_trips_are_cleaned_once_for_all_that_is_landed(tables, spark, monkeypatc
     monkeypatch.setattr(sinks, "replace_partitions", seen)
     assert entry.queries()["gold_incremental"](spark, tables).count() > 0
     assert len(plans) == 3 and not any("Join" in plan or "Window" in plan for plan in plans)
+
+
+@pytest.mark.parametrize("width", [3, 12])
+def test_raw_trips_are_written_as_wide_as_the_session_shuffles(tables, spark, monkeypatch, width):
+    monkeypatch.setattr(pipeline.Chain, "run", lambda *_, **__: {})
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", str(width))
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        chain, _ = entry.month_chain_over(spark, tables)
+        raw = spark.read.parquet(chain.input_path)
+        assert raw.selectExpr("count(distinct _metadata.file_path)").first()[0] == width
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
