@@ -3,9 +3,9 @@
 Strict patterns give the base spans: they are certain and always stay. Loose generators propose further
 spans of a kind, with high recall. Gradient-boosted trees score each proposal by its format and by the
 text around it; what defines a base span by its spelling alone (a plus sign, an at sign) is hidden from
-them, so that they learn what surrounds and shapes such data. They are trained on a bounded sample of
-proposals, labelled by whether a base span of the kind lies there, and a fold of documents is held out to
-choose, per kind, the lowest threshold that is precise enough. What scores above it is added.
+them, so that they learn what surrounds and shapes such data. They are trained on the proposals of all documents
+but a held-out fold, labelled by whether a base span of the kind lies there; on all proposals of that fold is
+chosen, per kind, the lowest threshold that is precise enough. What scores above it is added.
 
 Only DataFrame functions and Spark's own JVM trees are used. A pattern's matches and the gaps between them
 are taken in one projection over the texts; positions are running sums of their lengths.
@@ -25,8 +25,6 @@ from pyspark.sql.window import Window
 from lamina.llm.common import checkpointed, in_fold
 
 KINDS = ("email", "ip", "card", "phone")
-# The bound of the sample of proposals that the trees are fitted on; a fifth is held out for thresholds.
-MAX_PROPOSALS = 20_000
 TREES, DEPTH = 20, 3
 PRECISION = 0.98
 # A threshold rests on so many held-out proposals at least.
@@ -154,10 +152,11 @@ def assembled(proposed: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=names, outputCol="vector").transform(wide).drop(*names)
 
 
-def chosen(proposed: DataFrame, ids: DataFrame, max_proposals: int = MAX_PROPOSALS, precision: float = PRECISION) -> DataFrame | None:
+def chosen(proposed: DataFrame, ids: DataFrame, precision: float = PRECISION) -> DataFrame | None:
     """The proposals that the trees select, as (row, kind, start, end); None if there is nothing to learn from."""
     fold = proposed.join(ids.select("row", in_fold("id", 5, 3).alias("held")), "row")
-    sample = checkpointed(fold.orderBy(F.xxhash64("row", "start", "kind"), "row", "start", "kind").limit(max_proposals))
+    # In one order, so that the trees are the same on every run.
+    sample = checkpointed(fold.orderBy(F.xxhash64("row", "start", "kind"), "row", "start", "kind"))
     known = {r.known for r in sample.where("NOT held").select("known").distinct().collect()}
     if known != {True, False}:
         return None
@@ -184,7 +183,7 @@ def chosen(proposed: DataFrame, ids: DataFrame, max_proposals: int = MAX_PROPOSA
     return scored(assembled(proposed.where("free"))).where(above).select("row", "kind", "start", "end")
 
 
-def personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max_proposals: int = MAX_PROPOSALS, precision: float = PRECISION) -> DataFrame:
+def personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", precision: float = PRECISION) -> DataFrame:
     """Per row: doc_id, base and spans, arrays of (start, kind, end) by start, then kind in the order of KINDS.
 
     Positions are code points, end exclusive. Base matches are the leftmost that do not overlap, per kind, and
@@ -194,7 +193,7 @@ def personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", m
     """
     ids, matches = located(docs, doc_id, text)
     base = matches.where(passes()).select("row", F.col("pattern").alias("kind"), "start", "end")
-    added = chosen(checkpointed(proposals(matches, base)), ids, max_proposals, precision)
+    added = chosen(checkpointed(proposals(matches, base)), ids, precision)
     every = base.withColumn("strict", F.lit(True))
     if added is not None:
         every = every.union(added.distinct().withColumn("strict", F.lit(False)))

@@ -100,3 +100,27 @@ def test_the_native_path_runs_no_python(odd):
 def test_kinds_are_counted(make_docs, kind):
     text = "a@b.cd 1.2.3.4, 4111111111111111, +1 (668) 555-2281"
     assert pii.personal_data(make_docs([text])).select(pii.of_kind(F.col("base"), kind)).first()[0] == 1
+
+
+def test_trees_and_thresholds_are_learned_from_all_proposals(spark, monkeypatch):
+    n, seen = 30_000, {}
+
+    class Stop(Exception):
+        pass
+
+    class Trees:
+        def __init__(self, **_):
+            pass
+
+        def fit(self, training):
+            seen["n"] = training.count()
+            raise Stop
+
+    features = F.array(*[F.lit(0.0)] * pii.n_features())
+    rows = spark.range(n).select(F.col("id").alias("row"), F.lit("phone").alias("kind"), F.lit(0).alias("start"), F.lit(9).alias("end"))
+    proposed = rows.select("*", F.lit(True).alias("free"), (F.col("row") % 2 == 0).alias("known"), features.alias("features"))
+    ids = spark.range(n).select(F.col("id").alias("row"), "id")
+    monkeypatch.setattr(pii, "GBTClassifier", Trees)
+    with pytest.raises(Stop):
+        pii.chosen(proposed, ids)
+    assert seen["n"] == ids.where(~pii.in_fold("id", 5, 3)).count()
