@@ -27,6 +27,8 @@ PUNCTUATION = b".,;:!?\"'()[]|"
 MAX_RATED = 20_000
 ROUNDS = 200
 PENALTY = 3e-3
+# Hashed words that a step of the fit looks at once.
+BLOCK_WORDS = 1 << 17
 # Words in fewer rated documents have no weight.
 LEAST_DOCUMENTS = 10
 # Of held-out documents with a grade to keep, at most this share may fall below the cut.
@@ -64,19 +66,32 @@ def features(text: str | None) -> np.ndarray:
     return np.unique(np.fromiter((crc32(w) & mask for w in plain | ends | capitals), np.int64))
 
 
+def blocks(rows: list[np.ndarray]) -> Iterator[tuple[int, int]]:
+    """The bounds of consecutive documents that have about BLOCK_WORDS words together, at least one document."""
+    start = held = 0
+    for i, row in enumerate(rows):
+        held += len(row)
+        if held >= BLOCK_WORDS or i + 1 == len(rows):
+            yield start, i + 1
+            start, held = i + 1, 0
+
+
 def fit(rows: list[np.ndarray], ratings: np.ndarray, rounds: int = ROUNDS, penalty: float = PENALTY) -> tuple[list, np.ndarray, np.ndarray]:
-    """(grades, thresholds, weights) by Adam on the mean log-likelihood with an L2 penalty."""
+    """(grades, thresholds, weights) by Adam on the mean log-likelihood with an L2 penalty, summed block by block."""
     grades = sorted(set(ratings.tolist()))
     y = np.searchsorted(grades, ratings)
-    lengths = np.array([len(r) for r in rows])
-    index = np.concatenate(rows)
-    row = np.repeat(np.arange(len(rows)), lengths)
-    spread = np.bincount(index, minlength=1 << BITS)
+    spread = np.zeros(1 << BITS, np.int64)
+    for a, b in blocks(rows):
+        spread += np.bincount(np.concatenate(rows[a:b]), minlength=1 << BITS)
     used = np.flatnonzero(spread >= LEAST_DOCUMENTS)
-    place = np.full(1 << BITS, -1)
+    place = np.full(1 << BITS, -1, np.int32)
     place[used] = np.arange(len(used))
-    kept = place[index] >= 0
-    column, row = place[index][kept], row[kept]
+    # Of each block, its documents, and by word the document's place among these and the weight's.
+    parts = []
+    for a, b in blocks(rows):
+        column = place[np.concatenate(rows[a:b])]
+        row = np.repeat(np.arange(b - a, dtype=np.int32), [len(r) for r in rows[a:b]])
+        parts.append((a, b, row[column >= 0], column[column >= 0]))
     top, n = len(grades) - 1, len(rows)
     below = np.clip(np.cumsum(np.bincount(y, minlength=top + 1))[:-1] / n, 1e-6, 1 - 1e-6)
     cuts = np.log(below / (1 - below))
@@ -86,7 +101,7 @@ def fit(rows: list[np.ndarray], ratings: np.ndarray, rounds: int = ROUNDS, penal
     for step in range(1, rounds + 1):
         gaps = np.exp(state[1:top])
         theta = state[0] + np.concatenate([[0], np.cumsum(gaps)])
-        scores = np.bincount(row, state[top:][column], minlength=n)
+        scores = np.concatenate([np.bincount(row, state[top:][column], minlength=b - a) for a, b, row, column in parts])
         # Each row lies between two thresholds, those at the ends being infinite.
         high = np.where(y < top, logistic(theta[np.minimum(y, top - 1)] - scores), 1)
         low = np.where(y > 0, logistic(theta[np.maximum(y - 1, 0)] - scores), 0)
@@ -96,7 +111,10 @@ def fit(rows: list[np.ndarray], ratings: np.ndarray, rounds: int = ROUNDS, penal
         np.add.at(of_theta, np.minimum(y, top - 1), -np.where(y < top, up, 0))
         np.add.at(of_theta, np.maximum(y - 1, 0), np.where(y > 0, down, 0))
         rising = np.cumsum(of_theta[::-1])[::-1]
-        of_weights = np.bincount(column, (up - down)[row], minlength=len(used)) / n + penalty * state[top:]
+        of_weights = np.zeros(len(used))
+        for a, b, row, column in parts:
+            np.add.at(of_weights, column, (up - down)[a:b][row])
+        of_weights = of_weights / n + penalty * state[top:]
         slope = np.concatenate([rising[:1] / n, gaps * rising[1:] / n, of_weights])
         first = 0.9 * first + 0.1 * slope
         second = 0.999 * second + 0.001 * slope**2
@@ -110,25 +128,29 @@ def train(docs: DataFrame, ratings: DataFrame, doc_id: str = "doc_id", text: str
     """A model from the rated documents, or None if they have no two different grades.
 
     Ratings (doc_id, grade) with a null are left out, several of a document count as the lowest, and a document
-    that repeats is one. The sample is the `max_rated` ratings with the smallest hashes of their ids.
+    that repeats is one, its first row. The sample is the `max_rated` ratings with the smallest hashes of their ids.
+    Of these the driver gets one row each, with the words as 32-bit numbers.
     """
     rated = ratings.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{grade}`").cast("double").alias("grade")).dropna()
     rated = rated.groupBy("id").agg(F.min("grade").alias("grade"))
     sample = checkpointed(rated.orderBy(F.xxhash64("id"), "id").limit(max_rated))
-    source = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").cast("string").alias("t"))
-    # At most `max_rated` rows.
-    met = source.join(F.broadcast(sample), "id").select("grade", in_fold("id", 5, 2).alias("held"), "id", "t")
+    source = docs.select(F.col(f"`{doc_id}`").alias("id"), F.monotonically_increasing_id().alias("place"), F.col(f"`{text}`").cast("string").alias("t"))
+    # At most `max_rated` ids.
+    met = source.join(F.broadcast(sample), "id").select("grade", in_fold("id", 5, 2).alias("held"), "id", "place", "t")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [features(t).tolist() for t in batch.column(3).to_pylist()]
-            words = pa.array(found, pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), words], names=schema.names)
-
-    schema = met.drop("t").schema.add("words", T.ArrayType(T.LongType()))
-    found = met.mapInArrow(hashed, schema).toPandas().drop_duplicates("id").sort_values("id")
-    rows, grades = [np.asarray(w, np.int64) for w in found["words"]], found["grade"].to_numpy(float)
-    held = found["held"].to_numpy(bool)
+            words = pa.array([features(t).astype(np.int32).tobytes() for t in batch.column(4).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], words], names=schema.names)
+
+    schema = met.drop("t").schema.add("words", "binary")
+    found = met.mapInArrow(hashed, schema).groupBy("id").agg(F.min_by(F.struct("grade", "held", "words"), "place").alias("x"))
+    found = found.select("id", "x.*").toArrow()
+    ids = found.column("id").to_pylist()
+    order = sorted(range(len(ids)), key=ids.__getitem__)
+    grades, held = found.column("grade").to_numpy()[order], found.column("held").to_numpy()[order]
+    each = [np.frombuffer(w.as_buffer(), np.int32) for w in found.column("words")]
+    rows = [each[i] for i in order]
     if len(set(grades[~held].tolist())) < 2:
         return None
     names, thresholds, weights = fit([r for r, h in zip(rows, held) if not h], grades[~held])

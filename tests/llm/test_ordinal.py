@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -84,3 +86,21 @@ def test_grades_of_labels(spark):
     rows = spark.createDataFrame([(1, 0), (0, 0), (1, 1), (0, 1), (None, 1), (1, None)], "q int, t int")
     found = [r.g for r in rows.select(ordinal.graded(F.col("q"), F.col("t")).alias("g")).collect()]
     assert found == [2, 1, 0, 0, None, None]
+
+
+def test_driver_holds_a_few_bytes_a_word(rated, monkeypatch):
+    draw = np.random.default_rng(5)
+    rows = [np.unique(draw.zipf(1.3, 200) % (1 << ordinal.BITS)).astype(np.int32) for _ in range(6000)]
+    tracemalloc.start()
+    ordinal.fit(rows, draw.integers(0, 3, len(rows)).astype(float), rounds=2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 24 * sum(map(len, rows))
+
+    given, fit = [], ordinal.fit
+    monkeypatch.setattr(ordinal, "fit", lambda found, *a: given.extend(found) or fit(found, *a))
+    docs, ratings = rated
+    twice = docs.withColumn("text", F.lit("another text"))
+    ordinal.train(docs.union(twice).union(twice), ratings)
+    assert {r.dtype for r in given} == {np.dtype(np.int32)}
+    assert len(given) < 400 and min(map(len, given)) > 5
